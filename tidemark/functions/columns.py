@@ -34,6 +34,7 @@ def stamp(col: Column) -> Column:
     return F.date_format(col.cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """df with its dates and timestamps as text, for comparing engines whose date types differ."""
-    return df.select(*(c(n).cast("string").alias(n) if k in ("date", "timestamp", "timestamp_ntz") else c(n) for n, k in df.dtypes))
+def plain(df: DataFrame, *also: str) -> DataFrame:
+    """df with its dates and timestamps, and the columns also, as text: for comparing engines whose types differ."""
+    text = ("date", "timestamp", "timestamp_ntz")
+    return df.select(*(c(n).cast("string").alias(n) if k in text or n in also else c(n) for n, k in df.dtypes))

@@ -32,7 +32,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_trades_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """silver_trades with one whole row per (symbol, trade_id): the copy with the greatest offset."""
     df = table(spark, sf_dir, "silver_trades")
-    return plain(exactly_once(df, ["symbol", "trade_id"], ["kafka_offset", "bronze_ingest_timestamp"], "bronze_ingest_timestamp"))
+    return plain(exactly_once(df, ["symbol", "trade_id"], ["kafka_offset", "bronze_ingest_timestamp"], "bronze_ingest_timestamp"), "exchange_id")
 
 
 def p1_bronze_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ SQL = {
         FROM bronze WHERE kafka_topic IS NOT NULL AND kafka_partition IS NOT NULL AND kafka_offset IS NOT NULL
         GROUP BY kafka_topic, kafka_partition, kafka_offset HAVING count(*) > 1""",
     "p1_trades_once": """
-        SELECT * EXCLUDE (rn) REPLACE (CAST(sip_timestamp AS VARCHAR) AS sip_timestamp, CAST(trade_date AS VARCHAR) AS trade_date,
+        SELECT * EXCLUDE (rn) REPLACE (CAST(sip_timestamp AS VARCHAR) AS sip_timestamp, CAST(trade_date AS VARCHAR) AS trade_date, CAST(exchange_id AS VARCHAR) AS exchange_id,
           CAST(exchange_timestamp AS VARCHAR) AS exchange_timestamp, CAST(silver_timestamp AS VARCHAR) AS silver_timestamp,
           CAST(bronze_ingest_timestamp AS VARCHAR) AS bronze_ingest_timestamp) FROM (
           SELECT *, count(*) OVER (PARTITION BY symbol, trade_id) AS n_copies,
