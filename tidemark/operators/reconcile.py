@@ -239,7 +239,7 @@ def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], to
     while True:
         n = bound + 1 + CHECKS
         sketch = todo.mapInArrow(_sketch(n), "bucket bigint, side int, n bigint, v array<bigint>")
-        decoded = sketch.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_decode(n), "bucket bigint, ok boolean, p array<bigint>, q array<bigint>")
+        decoded = sketch.repartition(width(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_decode(n), "bucket bigint, ok boolean, p array<bigint>, q array<bigint>")
         decoded = staged(decoded, "decoded")
         found.append(decoded.filter("ok"))
         left = decoded.filter("not ok").select("bucket")
