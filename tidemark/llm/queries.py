@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.mix import mix
 from tidemark.llm.pack import pack
+from tidemark.llm.subjects import subject_sentences
 from tidemark.llm.tokens import token_counts
 from tidemark.session import staged
 from tidemark.sources.tables import table
@@ -44,7 +45,25 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
-QUERIES = {f.__name__: f for f in (p8_containers, p8_fill, p9_mix, p9_shares)}
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subject_sentences(*(table(spark, sf_dir, x) for x in ("documents", "doc_labels", "subject_areas")))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects of each document."""
+    return _subjects(spark, sf_dir).select("doc_id", F.explode("found").alias("subject")).distinct()
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by subject: documents, and sentences with their share of all sentences."""
+    docs = staged(_subjects(spark, sf_dir), "subjects")
+    whole = docs.agg(F.sum("n_sentences")).first()[0] or 0
+    n = docs.select(F.explode("found").alias("subject")).groupBy("subject").agg(F.count(F.lit(1)).alias("n_docs"))
+    s = docs.select(F.explode("subjects").alias("s")).groupBy("s.subject").agg(F.sum("s.n").alias("n_sentences"))
+    return s.join(n, "subject", "left").select("subject", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "n_sentences", F.round(F.try_divide("n_sentences", F.lit(whole)), 6).alias("share"))
+
+
+QUERIES = {f.__name__: f for f in (p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_composition)}
 
 #: None: SQL has no tokenizer (tests: brute force and invariants).
 SQL: dict[str, str] = {}
