@@ -220,22 +220,31 @@ def _text(df: DataFrame, name: str, tolerance: float) -> Column:
     return F.coalesce(F.concat(F.lit("v"), x.cast("string")), F.lit("n"))
 
 
+def side_name(keys: list[str], fields: list[str]) -> str:
+    """The column that tells the copies apart: side, with as many underscores after it as keep it from keys and fields."""
+    name, taken = "side", {x.lower() for x in [*keys, *fields]}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], tolerance: float = 1e-4, per_bucket: int = 64, bound: int = 8) -> DataFrame:
-    """Rows that one copy has and the other hasn't: ``side`` (0 for a, 1 for b), keys and fields. Rows of a copy must be distinct."""
+    """Rows that one copy has and the other hasn't: ``side_name`` (0 for a, 1 for b), keys and fields. Rows of a copy must be distinct."""
     spark = a.sparkSession
+    mark = side_name(keys, fields)
     buckets = max(1, math.ceil(max(a.count(), b.count()) / per_bucket))
 
     def elements(df: DataFrame, side: int) -> DataFrame:
         key = [_text(df, x, 1.0) if dict(df.dtypes)[x] in ("float", "double") else F.coalesce(F.concat(F.lit("v"), c(x).cast("string")), F.lit("n")) for x in keys]
         whole = [*key, *(_text(df, x, tolerance) for x in fields)]
         return df.select(
-            F.pmod(F.xxhash64(F.lit("bucket"), *key), F.lit(buckets).cast("bigint")).alias("__bucket"), F.lit(side).alias("side"),
+            F.pmod(F.xxhash64(F.lit("bucket"), *key), F.lit(buckets).cast("bigint")).alias("__bucket"), F.lit(side).alias("__side"),
             F.shiftrightunsigned(F.xxhash64(F.lit("element"), *whole), 4).alias("__element"), *map(c, keys), *map(c, fields),
         )
 
     rows = elements(a, 0).unionByName(elements(b, 1))
     rows = staged(rows.repartition(width(spark), "__bucket").sortWithinPartitions("__bucket"), "elements")
-    todo, found = rows.select(F.col("__bucket").alias("bucket"), "side", F.col("__element").alias("element")), []
+    todo, found = rows.select(F.col("__bucket").alias("bucket"), F.col("__side").alias("side"), F.col("__element").alias("element")), []
     while True:
         n = bound + 1 + CHECKS
         sketch = todo.mapInArrow(_sketch(n), "bucket bigint, side int, n bigint, v array<bigint>")
@@ -249,10 +258,10 @@ def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], to
     polys = found[0]
     for x in found[1:]:
         polys = polys.unionAll(x)
-    near = rows.select(F.col("__bucket").alias("bucket"), "side", F.col("__element").alias("element")).join(polys.drop("ok"), "bucket")
+    near = rows.select(F.col("__bucket").alias("bucket"), F.col("__side").alias("side"), F.col("__element").alias("element")).join(polys.drop("ok"), "bucket")
     zeros = near.select("bucket", "side", "element", "p", "q").mapInArrow(_zeros, "bucket bigint, side int, element bigint")
-    zeros = staged(zeros.withColumnsRenamed({"bucket": "__bucket", "element": "__element"}), "zeros")
-    return rows.join(zeros, ["__bucket", "side", "__element"], "left_semi").drop("__bucket", "__element")
+    zeros = staged(zeros.withColumnsRenamed({"bucket": "__bucket", "side": "__side", "element": "__element"}), "zeros")
+    return rows.join(zeros, ["__bucket", "__side", "__element"], "left_semi").drop("__bucket", "__element").withColumnRenamed("__side", mark)
 
 
 def field_differences(
@@ -260,8 +269,9 @@ def field_differences(
 ) -> DataFrame:
     """Of ``differing`` rows with unique keys: keys and ``finding``, the side a key is missing on or a field that differs."""
     kinds = dict(rows.dtypes)
+    mark = side_name(keys, fields)
     # both copies' rows of a key meet in one group of two at most
-    s = [F.max(F.when(F.col("side") == i, F.struct(*(c(x).alias(f"f{j}") for j, x in enumerate(fields)), F.lit(1).alias("there")))).alias(f"s{i}") for i in (0, 1)]
+    s = [F.max(F.when(c(mark) == i, F.struct(*(c(x).alias(f"f{j}") for j, x in enumerate(fields)), F.lit(1).alias("there")))).alias(f"s{i}") for i in (0, 1)]
     both = rows.groupBy(*map(c, keys)).agg(*s)
     tests = [F.when(F.col("s0").isNull(), F.lit(missing[0])), F.when(F.col("s1").isNull(), F.lit(missing[1]))]
     there = F.col("s0").isNotNull() & F.col("s1").isNotNull()

@@ -135,14 +135,13 @@ def _build(k: int, n_keys: int, rows: int = 1 << 18):
 
     def flush(parts: list[pa.RecordBatch], made: dict) -> None:
         t = pa.Table.from_batches(parts)
-        df = t.select(names).to_pandas()
         v = t.column("v").to_numpy(zero_copy_only=False)
-        groups = df.groupby(names, sort=False, dropna=False).ngroup().to_numpy()
+        groups = t.select(names).to_pandas().groupby(names, sort=False, dropna=False).ngroup().to_numpy() if names else np.zeros(len(v), int)
         o = np.argsort(groups, kind="stable")
         firsts = np.flatnonzero(np.r_[True, np.diff(groups[o]) != 0])
-        heads = df.iloc[o[firsts]].itertuples(index=False, name=None)
-        for key, x in zip(heads, np.split(v[o], firsts[1:])):
-            key = tuple(None if z is None or z != z else z for z in key)
+        heads = t.select(names).take(pa.array(o[firsts])) if names else None
+        keys = zip(*(x.to_pylist() for x in heads.columns)) if names else [()]
+        for key, x in zip(keys, np.split(v[o], firsts[1:])):
             if key not in made:
                 made[key] = TailSketch(k, zlib.crc32(repr((key, len(x), float(x[0]))).encode()))
             made[key].update(x)
@@ -237,6 +236,8 @@ def merge_sketches(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def percentiles(df: DataFrame, ps: list[float], k: int = SECTION) -> DataFrame:
     """Rows of ``sketches``, each with n and, per percentile, p, value and rank_bound (a share of n)."""
+    made = ("n", "p", "value", "rank_bound")
+    df = df.select(*(c(x).alias(x + "_" if x in made else x) for x in df.columns))
     keys = [x for x in df.columns if x != "sketch"]
     kinds = dict(df.dtypes)
 

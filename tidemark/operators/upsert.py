@@ -62,7 +62,7 @@ class KeyedTable:
             else:
                 after, log = source, source.withColumn("_change_type", F.lit("insert"))
             staging = f"{self.path}_staging"
-            after.repartition(self.part).write.mode("overwrite").partitionBy(self.part).parquet(staging)
+            after.repartition(self.part).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.part).parquet(staging)
             log.withColumn("_commit_version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{self.path}_changes/batch_id={batch_id}")
             fresh = self.spark.read.parquet(staging)
             fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.part).parquet(self.path)

@@ -35,12 +35,12 @@ def query(sql: str | None, *doubles: str, digits: int = 6, times: tuple[str, ...
     def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = f(spark, sf_dir)
-            return plain(df.withColumns({x: F.round(F.col(x) + NUDGE, digits) for x in doubles}) if doubles else df)
+            return plain(df.withColumns({x: F.round(F.col(x) + NUDGE, digits) + 0.0 for x in doubles}) if doubles else df)
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
         QUERIES[f.__name__] = run
         if sql:
-            change = [f"round({x} + {NUDGE}, {digits}) AS {x}" for x in doubles] + [f"CAST({x} AS VARCHAR) AS {x}" for x in times]
+            change = [f"round({x} + {NUDGE}, {digits}) + 0.0 AS {x}" for x in doubles] + [f"CAST({x} AS VARCHAR) AS {x}" for x in times]
             head, _, body = sql.rpartition("=>")
             SQL[f.__name__] = f"{'WITH ' + head if head else ''} SELECT * {'REPLACE (' + ', '.join(change) + ')' if change else ''} FROM ({body})"
         return run

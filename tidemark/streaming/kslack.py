@@ -18,6 +18,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.columns import c, micros
 
+#: An event in a buffer. A null sequence or value is held as -1 or NaN.
+BUFFER = np.dtype([("t", "i8"), ("seq", "i8"), ("arrival", "i8"), ("v", "f8")])
 OUT = "key string, period bigint, stage string, n bigint, n_amended bigint, n_rejected bigint, open double, close double, mean double"
 
 
@@ -27,7 +29,7 @@ def kslack_stream(df: DataFrame, key: str, event_time: str, arrival: str, sequen
     t = micros(c(event_time))
     rows = df.withColumn("__arrival", c(arrival).cast("timestamp")).withWatermark("__arrival", "0 seconds")
     rows = rows.select(
-        c(key).cast("string").alias("key"), (t - F.pmod(t, F.lit(length))).alias("period"), t.alias("t"), c(sequence).cast("bigint").alias("seq"),
+        c(key).cast("string").alias("key"), (t - F.pmod(t, F.lit(length))).alias("period"), t.alias("t"), F.coalesce(c(sequence).cast("bigint"), F.lit(-1)).alias("seq"),
         F.col("__arrival"), micros(F.col("__arrival")).alias("arrival"), c(value).cast("double").alias("v"),
     )
 
@@ -37,9 +39,9 @@ def kslack_stream(df: DataFrame, key: str, event_time: str, arrival: str, sequen
         return pd.DataFrame([[k[0], k[1], stage, len(v), amended, rejected, first, last, mean]], columns=[x.split()[0] for x in OUT.split(", ")])
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        end = k[1] + length
-        ts, seqs, arrivals, vs = map(list, state.get) if state.exists else ([], [], [], [])
-        b = pd.DataFrame({"t": ts, "seq": seqs, "arrival": arrivals, "v": vs})
+        end = int(k[1]) + length
+        held = np.frombuffer(state.get[0], BUFFER) if state.exists else np.empty(0, BUFFER)
+        b = pd.DataFrame({x: held[x] for x in BUFFER.names})
         if state.hasTimedOut:
             state.remove()
             yield values(k, "final", b, int((b["arrival"] > end + grace).sum()), 0)
@@ -59,8 +61,7 @@ def kslack_stream(df: DataFrame, key: str, event_time: str, arrival: str, sequen
             state.remove() if state.exists else None
             yield values(k, "final", b, int((b["arrival"] > end + grace).sum()), 0)
             return
-        state.update(tuple(b[x].tolist() for x in ("t", "seq", "arrival", "v")))
+        state.update((b.to_records(index=False).astype(BUFFER).tobytes(),))
         state.setTimeoutTimestamp(max((end + slack) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
 
-    kept = "t array<bigint>, seq array<bigint>, arrival array<bigint>, v array<double>"
-    return rows.groupBy("key", "period").applyInPandasWithState(step, OUT, kept, "update", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("key", "period").applyInPandasWithState(step, OUT, "buffer binary", "update", GroupStateTimeout.EventTimeTimeout)
