@@ -12,7 +12,8 @@ the whole corpus. Running sums of sizes are made in two steps, over hash buckets
 third of all texts is summed by many tasks.
 
 The total is the largest for which every source can give its share within its cap, unless a smaller one is asked for; if a
-larger one is asked for, short sources give all they have and the report shows it.
+larger one is asked for, short sources give all they have and the report shows it. A text is taken if more than half of
+it lies within the quota, so the shares reached are off by half a text at most.
 
 Defined results: sources compare after trimming and lower-casing; a source without texts gets nothing and the others share
 its weight in proportion (the report shows both); texts of sources without a target, or without a source, are not used;
@@ -106,7 +107,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, bl
     used = (
         placed.filter("passes > 0").withColumn("repeat_no", F.explode(F.sequence(F.lit(1), F.col("passes"))))
         .withColumn("start_token", F.col("offset") + F.col("within") + (F.col("repeat_no") - 1) * F.col("source_tokens"))
-        .filter("start_token < quota").withColumn("block", F.floor(F.col("start_token") / block_tokens))
+        .filter("start_token + n_tokens div 2 < quota").withColumn("block", F.floor(F.col("start_token") / block_tokens))
     )
     per = F.broadcast(plan.join(schedule.select("source", "per_period").distinct(), "source").select("source", "per_period"))
     timed = used.join(per, "source").withColumn("i", F.pmod("block", "per_period"))
