@@ -71,7 +71,7 @@ def test_containers_hold_whole_items(spark, bins, rows):
             assert len(parts[i]) == max(1, -(-n // cap)) and sum(x[2] for x in parts[i]) == n
             assert sorted(x[0] for x in parts[i]) == list(range(len(parts[i]))) and all(x[2] == cap for x in parts[i] if x[0] < x[1] - 1)
         assert len(parts[0]) == 2 * max(1, -(-items[0][1] // cap)) and parts[None] == [(0, 1, 7)]
-        assert sum(load.values()) / (cap * len([v for v in load.values() if v])) > (0.97 if bins > 3 else 0.8)
+        assert sum(load.values()) / (cap * len([v for v in load.values() if v])) > (0.95 if bins > 3 else 0.8)
 
 
 def test_empty_and_impossible(spark):
