@@ -69,3 +69,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Partitions of a shuffle in this session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df for work that costs far more than moving its rows: in as many partitions as a shuffle has, if it has fewer."""
+    n = width(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
