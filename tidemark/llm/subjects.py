@@ -15,7 +15,8 @@ H is fitted on at most ``FIT_DOCS`` labelled documents of at most ``FIT_CHARS``
 (the bounded sample of labelled rows that a classifier may be fitted on); a subject without labels is seeded by its
 description. With H fixed, W is then solved for every sentence of every document, whole texts, in Arrow batches. A
 component's mass in a sentence is the number of terms it explains. A sentence deals with the subject of the greatest
-mass if that is ``MASS`` terms or more. A document has a subject if two of its sentences deal with it, or one in a
+mass if that is ``MASS`` terms or more (just under two, so that
+rounding doesn't decide about sentences of two anchors). A document has a subject if two of its sentences deal with it, or one in a
 document of fewer than ``SHORT`` sentences.
 
 Defined results: null and empty texts have no sentences and no subject; repeated texts get the same subjects each; very
@@ -36,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.session import staged
+from tidemark.session import spread, staged
 
 FIT_DOCS, FIT_CHARS = 3000, 20_000
-ANCHOR, EXCLUSIVE, MASS, SHORT = 0.5, 0.6, 2.0, 6
-BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS = 6, 40, 30
+ANCHOR, EXCLUSIVE, MASS, SHORT = 0.5, 0.6, 1.9, 6
+BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS, SETTLED = 6, 40, 30, 0.01
+#: Entries of a block of sentences, so that its share of H stays in a core's cache; and what keeps quotients finite.
+BLOCK, TINY = 25_000, 1e-12
 
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 MARKUP = re.compile(r"<[^<>]{1,40}>")
@@ -60,22 +63,43 @@ def sentences(text: str | None) -> list[list[str]]:
     return out
 
 
-def _ratio(w: np.ndarray, h: np.ndarray, si: np.ndarray, ti: np.ndarray) -> np.ndarray:
-    """What the entries of the matrix, all ones, are of their approximation."""
-    r = np.full(len(si), 1e-12)
-    for k in range(len(h)):
-        r += w[si, k] * h[k, ti]
-    return 1 / r
-
-
-def solve(h: np.ndarray, si: np.ndarray, ti: np.ndarray, n: int, rounds: int = SOLVE_ROUNDS) -> np.ndarray:
-    """W for given H; its rows add up to the sentences' numbers of known terms."""
-    w = np.ones((n, len(h)))
-    for _ in range(rounds):
-        r = _ratio(w, h, si, ti)
-        for k in range(len(h)):
-            w[:, k] *= np.bincount(si, h[k, ti] * r, minlength=n)
-    return w
+def _blocks(keys: list[tuple[int, ...]], pad: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sentences of like length together: their places in keys, and their terms as a matrix filled up with pad."""
+    order = sorted(range(len(keys)), key=lambda i: len(keys[i]))
+    i = 0
+    while i < len(order):
+        j = i + 1
+        while j < len(order) and (j - i + 1) * len(keys[order[j]]) <= BLOCK:
+            j += 1
+        part = order[i:j]
+        ids = np.full((len(part), len(keys[part[-1]])), pad)
+        for row, k in zip(ids, part):
+            row[: len(keys[k])] = keys[k]
+        yield np.array(part), ids
+        i = j
+
+
+def _padded(h: np.ndarray) -> np.ndarray:
+    """H by term, with a last term of no weight."""
+    return np.ascontiguousarray(np.concatenate([h, np.zeros((len(h), 1))], axis=1).T)
+
+
+def solve(h: np.ndarray, keys: list[tuple[int, ...]], rounds: int = SOLVE_ROUNDS, tol: float = SETTLED) -> np.ndarray:
+    """W for given H; its rows add up to the sentences' numbers of known terms. A row that moves by tol at most is settled."""
+    out, by_term = np.ones((len(keys), len(h))), _padded(h)
+    for part, ids in _blocks(keys, h.shape[1]):
+        a, w, live = by_term[ids], np.ones((len(part), len(h))), np.arange(len(part))
+        for _ in range(rounds):
+            q = np.matmul(a, w[live][:, :, None])[:, :, 0] + TINY
+            new = w[live] * np.matmul((1 / q)[:, None, :], a)[:, 0]
+            moving = np.abs(new - w[live]).max(axis=1) > tol
+            w[live] = new
+            if moving.mean() < 0.7:  # else taking them out costs more than it saves
+                live, a = live[moving], a[moving]
+                if not len(live):
+                    break
+        out[part] = w
+    return out
 
 
 def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds: int = FIT_ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -84,7 +108,7 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
     voc = {x: i for i, x in enumerate(sorted(x for x, n in seen.items() if n > 1))}
     size, total = len(voc), n_subjects + BACKGROUND
     with_subject, with_term, base = np.zeros((n_subjects, size)), np.zeros(size), np.zeros(n_subjects)
-    si, ti, rows = [], [], []
+    keys, rows = [], []
     for terms, subjects in docs:
         own = list({voc[x] for s in terms for x in s if x in voc})
         with_term[own] += 1
@@ -92,16 +116,14 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
             base[k] += 1
             with_subject[k, own] += 1
         for s in terms:
-            ids = [voc[x] for x in s if x in voc]
-            si += [len(rows)] * len(ids)
-            ti += ids
+            keys.append(tuple(voc[x] for x in s if x in voc))
             rows.append(subjects)
-    si, ti = np.array(si, np.int64), np.array(ti, np.int64)
+    often = np.bincount(np.array([i for k in keys for i in k], np.int64), minlength=size)
     sure = (with_subject + base[:, None] / max(len(docs), 1)) / (with_term + 1)
     h = np.zeros((total, size))
     h[:n_subjects] = np.where(sure >= ANCHOR, with_subject, 0)
     rng = np.random.default_rng(0)
-    free = np.bincount(ti, minlength=size) * ~(sure >= EXCLUSIVE).any(axis=0)
+    free = often * ~(sure >= EXCLUSIVE).any(axis=0)
     h[n_subjects:] = free * rng.uniform(0.5, 1.5, (BACKGROUND, size))
     w = np.zeros((len(rows), total))
     w[:, n_subjects:] = 1
@@ -109,13 +131,19 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
         w[i, list(subjects)] = 1
     scale = lambda x: x / np.maximum(x.sum(axis=1, keepdims=True), 1e-12)
     h = scale(h)
+    blocks = list(_blocks(keys, size))
+    entries = np.concatenate([ids.ravel() for _, ids in blocks]) if blocks else np.zeros(0, np.int64)
+    owners = np.concatenate([np.repeat(part, ids.shape[1]) for part, ids in blocks]) if blocks else entries
     for _ in range(rounds):
-        r = _ratio(w, h, si, ti)
-        for k in range(total):
-            w[:, k] *= np.bincount(si, h[k, ti] * r, minlength=len(rows))
-        r = _ratio(w, h, si, ti)
+        by_term, inverse = _padded(h), []
+        for part, ids in blocks:
+            a = by_term[ids]
+            q = np.matmul(a, w[part][:, :, None])[:, :, 0] + TINY
+            w[part] *= np.matmul((1 / q)[:, None, :], a)[:, 0]
+            inverse.append((1 / (np.matmul(a, w[part][:, :, None])[:, :, 0] + TINY)).ravel())
+        inverse = np.concatenate(inverse) if inverse else np.zeros(0)
         for k in range(total):
-            h[k] *= np.bincount(ti, w[si, k] * r, minlength=size)
+            h[k] *= np.bincount(entries, w[owners, k] * inverse, minlength=size + 1)[:size]
         h = scale(h)
     return sorted(voc), h
 
@@ -169,12 +197,9 @@ class _Reader:
         if len(self.known) + len(new) > 200_000:
             self.known.clear()
             new = list(dict.fromkeys(k for own in keys for k in own if k))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            si = np.repeat(np.arange(len(part)), [len(k) for k in part])
-            mass = solve(self.h, si, np.concatenate([np.array(k) for k in part]), len(part))[:, : self.n]
-            best = mass.argmax(axis=1)
-            self.known.update(zip(part, np.where(mass.max(axis=1) >= MASS, best, -1).tolist()))
+        mass = solve(self.h, new)[:, : self.n] if new else np.zeros((0, self.n))
+        best = mass.argmax(axis=1) if new else []
+        self.known.update(zip(new, np.where(mass.max(axis=1, initial=0) >= MASS, best, -1).tolist()))
         return [[self.known[k] if k else -1 for k in own] for own in keys]
 
 
@@ -208,4 +233,4 @@ def subject_sentences(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> D
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_sentences int, subjects array<struct<subject: string, n: int>>, found array<string>")
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_sentences int, subjects array<struct<subject: string, n: int>>, found array<string>")

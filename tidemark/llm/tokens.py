@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
+from tidemark.session import spread
 
 #: Rank file of a byte-level BPE; it must lie at this path on every executor.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -38,7 +39,7 @@ def token_counts(df: DataFrame, text: str, keep: dict[str, str], vocabulary: str
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sizes, pa.int64())], names=[*b.schema.names[:-1], "n_tokens"])
 
     kinds = dict(out.dtypes)
-    return out.mapInArrow(run, ", ".join([*(f"`{y}` {kinds[y]}" for y in keep.values()), "n_tokens bigint"]))
+    return spread(out).mapInArrow(run, ", ".join([*(f"`{y}` {kinds[y]}" for y in keep.values()), "n_tokens bigint"]))
 
 
 def normal_source(col):
