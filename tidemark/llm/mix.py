@@ -36,7 +36,8 @@ from tidemark.session import staged
 GRAIN = 10_000
 #: Texts of a hash bucket inside which running sums are made by one task.
 BUCKET_ROWS = 50_000
-#: Bytes of a schedule table are at most about 40 a slot, and slots at most GRAIN.
+#: Rows up to which a table made here (of sources, of a period's slots) is broadcast; beyond, it is joined as any other.
+SMALL_ROWS = GRAIN
 
 
 def period(shares: dict[str, float]) -> dict[str, list[int]]:
@@ -65,6 +66,10 @@ def period(shares: dict[str, float]) -> dict[str, list[int]]:
     return slots
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = 2048, seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """The mix and its report. docs: doc_id, text_key (equal for equal texts), source, n_tokens; targets: source, target_share, max_repeats.
 
@@ -91,8 +96,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, bl
         rows.append((s, float(share), weight.get(s, 0.0), int(cap), int(n), int(t), quota, math.ceil(quota / t) if t else 0))
     plan = spark.createDataFrame(rows, "source string, target_share double, weight double, max_repeats int, n_texts bigint, source_tokens bigint, quota double, passes int")
     slots = period(have)
-    cycle = [(s, i, t, len(x)) for s, x in slots.items() for i, t in enumerate(x)]
-    schedule = spark.createDataFrame(cycle, "source string, i bigint, slot_in_period bigint, per_period bigint")
+    cycle = [(s, i, t) for s, x in slots.items() for i, t in enumerate(x)]
+    schedule = spark.createDataFrame(cycle, "source string, i bigint, slot_in_period bigint")
     length = len(cycle)
 
     buckets = max(1, math.ceil(max((n for n, _ in sizes.values()), default=0) / BUCKET_ROWS))
@@ -102,16 +107,16 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, bl
     sums = staged(sums.select("source", "bucket", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset")), "offsets")
     inside = Window.partitionBy("source", "bucket").orderBy(F.shiftrightunsigned("h", 8), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = put.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(sums, ["source", "bucket"])
-    placed = placed.join(F.broadcast(plan.select("source", "source_tokens", "quota", "passes")), "source")  # a row per source of the mix
+    placed = placed.join(_small(plan.select("source", "source_tokens", "quota", "passes"), len(rows)), "source")
     # passes <= max_repeats
     used = (
         placed.filter("passes > 0").withColumn("repeat_no", F.explode(F.sequence(F.lit(1), F.col("passes"))))
         .withColumn("start_token", F.col("offset") + F.col("within") + (F.col("repeat_no") - 1) * F.col("source_tokens"))
         .filter("start_token + n_tokens div 2 < quota").withColumn("block", F.floor(F.col("start_token") / block_tokens))
     )
-    per = F.broadcast(plan.join(schedule.select("source", "per_period").distinct(), "source").select("source", "per_period"))
-    timed = used.join(per, "source").withColumn("i", F.pmod("block", "per_period"))
-    timed = timed.join(F.broadcast(schedule.select("source", "i", "slot_in_period")), ["source", "i"])  # at most GRAIN rows
+    per = spark.createDataFrame([(s, len(x)) for s, x in slots.items()], "source string, per_period bigint")
+    timed = used.join(_small(per, len(slots)), "source").withColumn("i", F.pmod("block", "per_period"))
+    timed = timed.join(_small(schedule, length), ["source", "i"])
     slot = F.floor(F.col("block") / F.col("per_period")) * length + F.col("slot_in_period")
     out = timed.select("doc_id", "source", F.col("repeat_no").cast("int").alias("repeat_no"), slot.alias("slot"), "start_token", "n_tokens")
     got = out.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_used"), F.max("repeat_no").alias("repeats"))
