@@ -48,8 +48,8 @@ class KeyedTable:
             source = keep_latest(batch.filter(known), self.keys, self.order)
             if self.exists():
                 old = self.read()
-                # a batch touches few partitions; the semi join prunes the others
-                old = old.join(F.broadcast(source.select(self.part).distinct()), self.part, "left_semi").select(*map(c, source.columns))
+                # prunes the partitions that the batch doesn't touch
+                old = old.join(source.select(self.part).distinct(), self.part, "left_semi").select(*map(c, source.columns))
                 if self.ordered:
                     both = old.withColumn("__new", F.lit(0)).unionByName(source.withColumn("__new", F.lit(1)))
                     rest = [x for x in source.columns if x not in self.keys]
