@@ -28,6 +28,16 @@ from tidemark.functions.columns import c, free_name, micros
 from tidemark.session import scratch, width
 
 
+def _put(df: DataFrame, table: str, run: str) -> None:
+    """df as that run of the table, by a static partition: it alone is overwritten, whatever the session's overwrite mode."""
+    spark, view = df.sparkSession, f"tidemark_batch_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run = '{run.replace(chr(39), chr(39) * 2)}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 class SortedRunStore:
     """Keyed storage of rows like ``like``; ``keys`` identify a message, ``order`` decides which copy stays."""
 
@@ -60,16 +70,8 @@ class SortedRunStore:
         try:
             # as many tasks as buckets: each then writes the one file of its bucket
             self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n_buckets))
-            (
-                df.filter(known)
-                .select(*ids, F.struct(*payload).alias("kept"))
-                .groupBy(*(f"k{i}" for i in range(len(ids))))
-                .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-                .withColumn("run", F.lit(batch_id))
-                .write.option("partitionOverwriteMode", "dynamic")
-                .mode("overwrite")
-                .insertInto(self.name)
-            )
+            rows = df.filter(known).select(*ids, F.struct(*payload).alias("kept")).groupBy(*(f"k{i}" for i in range(len(ids))))
+            _put(rows.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), self.name, batch_id)
         finally:
             self.spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -94,7 +96,7 @@ class SortedRunStore:
             f"SORTED BY ({', '.join(by)}) INTO {self.n_buckets} BUCKETS LOCATION '{fresh.path}'"
         )
         merged = self.spark.table(self.name).groupBy(*by).agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
-        merged.withColumn("run", F.lit("g")).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(fresh.name)
+        _put(merged, fresh.name, "g")
         self.spark.sql(f"DROP TABLE {self.name}")
         self.name, self.path = fresh.name, fresh.path
 

@@ -12,15 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 _written: list[str] = []
 
 
-def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A local session with the settings the library is tuned for."""
+def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, master: str | None = None, **conf: str) -> SparkSession:
+    """A session, local unless said otherwise, with the settings the library is tuned for; conf with dots or double underscores."""
     b = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(master or f"local[{cores}]")
         .appName("tidemark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
