@@ -34,16 +34,23 @@ SECTION = 32
 SECTIONS = 3
 #: Standard deviation of a rank, over k and over the distance from the top.
 SPREAD = (0.0512 / SECTIONS) ** 0.5
+MASK = (1 << 64) - 1
+#: Groups held at once by a task; beyond, their sketches so far are sent on and begun anew, to be merged later.
+GROUPS = 20_000
 
 
 class TailSketch:
     """Values above protected, in float64."""
 
     def __init__(self, k: int = SECTION, seed: int = 0):
-        self.k, self.n, self.rng = k, 0, np.random.default_rng(seed)
+        self.k, self.n, self.coins = k, 0, (seed * 2862933555777941757 + 3037000493) & MASK
         self.items: list[np.ndarray] = [np.empty(0)]
         self.shape: list[list[float]] = [[k, SECTIONS, 0]]  # by level: section size, sections, compactions
 
+    def _coin(self) -> int:
+        self.coins = (self.coins * 6364136223846793005 + 1442695040888963407) & MASK
+        return self.coins >> 63
+
     def _room(self, h: int) -> int:
         size, sections, _ = self.shape[h]
         return 2 * _even(size) * int(sections)
@@ -85,7 +92,7 @@ class TailSketch:
                 part -= part % 2
                 if h + 1 == len(self.items):
                     self._level()
-                coin = int(self.rng.integers(2))
+                coin = self._coin()
                 self.items[h + 1] = np.concatenate([self.items[h + 1], x[coin:part:2]])
                 self.items[h] = x[part:]
                 count += 1
@@ -148,6 +155,15 @@ def _build(k: int, n_keys: int, rows: int = 1 << 18):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, parts, held, schema = {}, [], 0, None
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            done = list(made.items())
+            made.clear()
+            for i in range(0, len(done), 256):
+                some = done[i : i + 256]
+                cols = [pa.array([x[0][j] for x in some], schema.field(f"k{j}").type) for j in range(n_keys)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([x[1].pack() for x in some], pa.binary())], names=[*names, "sketch"])
+
         for b in batches:
             if b.num_rows:
                 parts.append(b)
@@ -156,13 +172,11 @@ def _build(k: int, n_keys: int, rows: int = 1 << 18):
             if held >= rows:
                 flush(parts, made)
                 parts, held = [], 0
+                if len(made) > GROUPS:
+                    yield from sent()
         if held:
             flush(parts, made)
-        made = list(made.items())
-        for i in range(0, len(made), 256):
-            some = made[i : i + 256]
-            cols = [pa.array([x[0][j] for x in some], schema.field(f"k{j}").type) for j in range(n_keys)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([x[1].pack() for x in some], pa.binary())], names=[*names, "sketch"])
+        yield from sent()
 
     return run
 

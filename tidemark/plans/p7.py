@@ -14,8 +14,8 @@ from tidemark.sources.tables import table
 PERCENTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999]
 
 
-def day_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """metric, grp, session_date, sketch."""
+def values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """metric, grp, session_date, v of the three columns."""
     parts = [
         table(spark, sf_dir, t).select(F.lit(f"{t}.{v}").alias("metric"), F.col(g).alias("grp"), F.col(d).cast("date").alias("session_date"), F.col(v).cast("double").alias("v"))
         for t, g, d, v in (
@@ -24,7 +24,12 @@ def day_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("pipeline_batch_metrics", "layer", "started_at", "duration_ms"),
         )
     ]
-    return sketches(reduce(DataFrame.unionAll, parts), ["metric", "grp", "session_date"], "v")
+    return reduce(DataFrame.unionAll, parts)
+
+
+def day_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """metric, grp, session_date, sketch."""
+    return sketches(values(spark, sf_dir), ["metric", "grp", "session_date"], "v")
 
 
 def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +40,31 @@ def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text(days, F.col("session_date").cast("string")).unionAll(text(every, F.lit("all")))
 
 
-QUERIES = {"p7_percentiles": p7_percentiles}
+def p7_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentiles of all days against exact ranks: whether each value's rank lies within its bound."""
+    every = merge_sketches(staged(day_sketches(spark, sf_dir), "sketches"), ["metric", "grp"])
+    found = percentiles(every, PERCENTILES).groupBy("metric", "grp", "n").agg(F.array_sort(F.collect_list(F.struct("p", "value", "rank_bound"))).alias("q"))
+    found = staged(found, "percentiles").withColumnRenamed("grp", "g").withColumnRenamed("metric", "m")
+    rows = values(spark, sf_dir).filter("v is not null and not isnan(v)")
+    joined = rows.join(found, F.col("metric").eqNullSafe(F.col("m")) & F.col("grp").eqNullSafe(F.col("g")))
+    at = range(len(PERCENTILES))
+    count = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
+    sums = [count(F.col("v") < F.col("q")[i]["value"]).alias(f"below{i}") for i in at] + [count(F.col("v") <= F.col("q")[i]["value"]).alias(f"upto{i}") for i in at]
+    ranks = joined.groupBy("metric", "grp").agg(F.first("n").alias("n"), F.first("q").alias("q"), *sums)
+    each = F.array(*(F.struct(F.col("q")[i].alias("q"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i in at))
+    e = ranks.select("metric", "grp", "n", F.explode(each).alias("e"))
+    share = F.col("e.q.p") * F.col("n")
+    slack = F.col("e.q.rank_bound") * F.col("n") + 1
+    return e.select("metric", "grp", F.col("e.q.p").alias("p"), ((F.col("e.below") <= share + slack) & (F.col("e.upto") >= share - slack)).alias("within"))
+
+
+QUERIES = {f.__name__: f for f in (p7_percentiles, p7_within_bound)}
 
-#: Sketches aren't SQL (tests: brute force).
-SQL: dict[str, str] = {}
+#: p7_percentiles has none: sketches aren't SQL (tests: brute force).
+SQL = {
+    "p7_within_bound": f"""
+        WITH v AS (SELECT 'silver_trades.trade_size' AS metric, symbol AS grp FROM silver_trades WHERE trade_size IS NOT NULL
+          UNION ALL SELECT 'silver_quotes.bid_price', symbol FROM silver_quotes WHERE bid_price IS NOT NULL AND NOT isnan(bid_price)
+          UNION ALL SELECT 'pipeline_batch_metrics.duration_ms', layer FROM pipeline_batch_metrics WHERE duration_ms IS NOT NULL)
+        SELECT metric, grp, p, TRUE AS within FROM (SELECT DISTINCT metric, grp FROM v), (SELECT unnest({PERCENTILES}) AS p)""",
+}

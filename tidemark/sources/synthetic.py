@@ -22,4 +22,5 @@ def bar_messages(spark: SparkSession, symbols: list[str], minutes: int, repeat_r
     ))
     copies = F.sequence(F.lit(1), F.when(draw("repeat") < repeat_rate, 2).otherwise(1))
     delay = F.when(draw("late") < late_rate, 600).otherwise(0)
-    return ids.select(F.col("id").alias("seq"), delay.alias("delay_s"), payload.alias("payload"), F.explode(copies).alias("copy")).drop("copy")
+    out = ids.select(F.col("id").alias("seq"), delay.alias("delay_s"), payload.alias("payload"), copies.alias("copies"))
+    return out.withColumn("copies", F.explode("copies")).drop("copies")
