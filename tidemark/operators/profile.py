@@ -72,8 +72,8 @@ def findings(counts: DataFrame, baseline: DataFrame) -> DataFrame:
 def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     """Per load and column: rows, nulls, distinct values, range, most frequent value, and the change since the load before.
 
-    Bins: the deciles of baseline for the columns it has; for other numbers sign and power of two; for the rest 16 hash
-    bins of the value. psi and chi_square compare counts per bin, each with half a row added to keep logarithms finite.
+    Bins: the deciles of baseline for the columns it has; for other numbers their sign and the bits of their ten-thousandths,
+    so that a bin spans a factor of two; for the rest 16 hash bins of the value. psi and chi_square compare counts per bin, each with half a row added to keep logarithms finite.
     """
     v = F.when(F.col("numeric"), F.col("value").try_cast("double"))
     flat = counts.groupBy("load", "column_name", "numeric", "value").agg(F.sum("n").alias("n"))
@@ -83,14 +83,15 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
         F.count("value").alias("distinct_count"), F.min(real).alias("least_number"), F.max(real).alias("greatest_number"),
         F.sum(F.when(F.isnan(v), F.col("n")).otherwise(0)).alias("nan_count"),
         F.min(F.when(~F.col("numeric"), F.col("value"))).alias("least_text"), F.max(F.when(~F.col("numeric"), F.col("value"))).alias("greatest_text"),
-        F.max(F.when(F.col("value").isNotNull(), F.struct("n", "value"))).alias("top"),
+        F.max(F.when(F.col("value").isNotNull(), F.struct("n", v.alias("x"), "value"))).alias("top"),
     )
     b = flat.join(baseline.select(F.col("column_name").alias("name"), *DECILES), F.col("column_name") == F.col("name"), "left")
     decile = reduce(lambda x, y: x + y, [F.when(v > F.col(q), 1).otherwise(0) for q in DECILES])
-    power = F.concat(F.signum(v).cast("int"), F.lit("e"), F.coalesce(F.floor(F.log2(F.abs(F.nullif(v, F.lit(0.0))))).cast("string"), F.lit("")))
+    bits = F.bin(F.floor(F.least(F.abs(v) * 10_000, F.lit(1e15))))
+    power = F.concat(F.when(v < 0, "-").otherwise(""), F.when(F.abs(v) * 10_000 < 1, "0").otherwise(F.length(bits).cast("string")))
     bin_ = (
         F.when(F.col("value").isNull(), "null").when(F.isnan(v), "nan").when(F.col("q50").isNotNull() & F.col("numeric"), decile.cast("string"))
-        .when(F.col("numeric"), power).otherwise(F.pmod(F.xxhash64("value"), F.lit(16)).cast("string"))
+        .when(F.col("numeric"), power).otherwise(F.substring(F.md5("value"), 1, 1))
     )
     bins = b.groupBy("load", "column_name", bin_.alias("bin")).agg(F.sum("n").alias("n"))
     order = Window.partitionBy("column_name").orderBy("load")  # as many rows as loads
@@ -111,5 +112,5 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     return (
         g.join(change, ["load", "column_name"], "left")
         .withColumn("null_rate", F.col("null_count") / F.col("row_count"))
-        .select("load", "column_name", "row_count", "null_count", "null_rate", "nan_count", "distinct_count", "least_number", "greatest_number", "least_text", "greatest_text", F.col("top.value").alias("top_value"), F.col("top.n").alias("top_count"), "psi", "chi_square")
+        .select("load", "column_name", "row_count", "null_count", "null_rate", "nan_count", "distinct_count", "least_number", "greatest_number", "least_text", "greatest_text", F.when(~F.col("numeric"), F.col("top.value")).alias("top_text"), F.col("top.x").alias("top_number"), F.col("top.n").alias("top_count"), "psi", "chi_square")
     )
