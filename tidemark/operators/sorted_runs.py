@@ -23,9 +23,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import c, free_name, micros
 from tidemark.session import scratch, width
+from tidemark.streaming.triggers import triggered
 
 
 def _put(df: DataFrame, table: str, run: str) -> None:
@@ -49,14 +51,15 @@ class SortedRunStore:
         self.count_name = free_name(like, "n_copies")
         self.path = scratch(self.spark, "runs")
         self.name = f"tidemark_runs_{uuid.uuid4().hex}"
+        # apart is empty for identified rows and different for each of the others, which therefore spread over all buckets
+        self.by = [*(f"k{i}" for i in range(len(keys))), "apart"]
         self.kinds = {f.name: f.dataType for f in like.schema}
-        self.loose: dict[str, DataFrame] = {}
         # inside the table, keys and payload go by position, so that no name of the input can clash
         kept = ", ".join(f"c{i}: {self.kinds[x].simpleString()}" for i, x in enumerate([*order, *self.rest])) or "c0: int"
         ids = ", ".join(f"k{i} {self.kinds[x].simpleString()}" for i, x in enumerate(keys))
-        by = ", ".join(f"k{i}" for i in range(len(keys)))
+        by = ", ".join(self.by)
         self.spark.sql(
-            f"CREATE TABLE {self.name} ({ids}, kept struct<{kept}>, n bigint, run string) USING parquet "
+            f"CREATE TABLE {self.name} ({ids}, apart string, kept struct<{kept}>, n bigint, run string) USING parquet "
             f"PARTITIONED BY (run) CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.n_buckets} BUCKETS LOCATION '{self.path}'"
         )
 
@@ -65,42 +68,43 @@ class SortedRunStore:
         ids = [c(x).alias(f"k{i}") for i, x in enumerate(self.keys)]
         payload = [c(x).alias(f"c{i}") for i, x in enumerate([*self.order, *self.rest])] or [F.lit(0).alias("c0")]
         known = reduce(lambda a, b: a & b, [c(x).isNotNull() for x in self.keys])
-        self.loose[batch_id] = df.filter(~known)
         before = self.spark.conf.get("spark.sql.shuffle.partitions")
         try:
             # as many tasks as buckets: each then writes the one file of its bucket
             self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n_buckets))
-            rows = df.filter(known).select(*ids, F.struct(*payload).alias("kept")).groupBy(*(f"k{i}" for i in range(len(ids))))
-            _put(rows.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), self.name, batch_id)
+            apart = F.when(known, "").otherwise(F.concat_ws("-", F.lit(batch_id), F.monotonically_increasing_id().cast("string")))
+            rows = df.select(*ids, apart.alias("apart"), F.struct(*payload).alias("kept"))
+            _put(rows.groupBy(*self.by).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), self.name, batch_id)
         finally:
             self.spark.conf.set("spark.sql.shuffle.partitions", before)
 
     def compact(self) -> DataFrame:
         """All runs merged: one row per identifier, with the number of copies delivered."""
-        by = [f"k{i}" for i in range(len(self.keys))]
-        merged = self.spark.table(self.name).groupBy(*by).agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
+        merged = self.spark.table(self.name).groupBy(*self.by).agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
         at = {x: f"kept.c{i}" for i, x in enumerate([*self.order, *self.rest])} | {x: f"k{i}" for i, x in enumerate(self.keys)}
-        out = merged.select(*(F.col(at[x]).alias(x) for x in self.columns), F.col("n").alias(self.count_name))
-        for df in self.loose.values():
-            out = out.unionAll(df.select(*(c(x) for x in self.columns), F.lit(1).cast("bigint").alias(self.count_name)))
-        return out
+        return merged.select(*(F.col(at[x]).alias(x) for x in self.columns), F.col("n").alias(self.count_name))
 
     def rewrite(self) -> None:
-        """Compact in place: the merged rows become the only run, of generation g. Loose rows stay as they are."""
-        by = [f"k{i}" for i in range(len(self.keys))]
+        """Compact in place: the merged rows become the only run, of generation g."""
         fresh = SortedRunStore.__new__(SortedRunStore)
         fresh.__dict__ |= self.__dict__ | {"path": scratch(self.spark, "runs"), "name": f"tidemark_runs_{uuid.uuid4().hex}"}
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.spark.table(self.name).schema)
         self.spark.sql(
-            f"CREATE TABLE {fresh.name} ({fields}) USING parquet PARTITIONED BY (run) CLUSTERED BY ({', '.join(by)}) "
-            f"SORTED BY ({', '.join(by)}) INTO {self.n_buckets} BUCKETS LOCATION '{fresh.path}'"
+            f"CREATE TABLE {fresh.name} ({fields}) USING parquet PARTITIONED BY (run) CLUSTERED BY ({', '.join(self.by)}) "
+            f"SORTED BY ({', '.join(self.by)}) INTO {self.n_buckets} BUCKETS LOCATION '{fresh.path}'"
         )
-        merged = self.spark.table(self.name).groupBy(*by).agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
+        merged = self.spark.table(self.name).groupBy(*self.by).agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
         _put(merged, fresh.name, "g")
         self.spark.sql(f"DROP TABLE {self.name}")
         self.name, self.path = fresh.name, fresh.path
 
 
+def upsert_stream(df: DataFrame, store: SortedRunStore, checkpoint: str, mode: str = "availableNow") -> StreamingQuery:
+    """A stream of deliveries into a store: a run per micro-batch, replaced if the micro-batch is repeated after a failure."""
+    writer = df.writeStream.foreachBatch(lambda b, i: store.upsert(b, f"s{i}")).option("checkpointLocation", checkpoint)
+    return triggered(writer, mode).start()
+
+
 def batches(df: DataFrame, arrival: str, n: int) -> list[tuple[str, DataFrame]]:
     """df in n batches by spans of the arrival time; rows without one belong to the first."""
     at = micros(c(arrival))
