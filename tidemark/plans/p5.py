@@ -24,13 +24,13 @@ def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows missing on a side, fields that differ, and roll-up rows with a bar of another FIGI."""
-    rollup, batch = _copies(spark, sf_dir)
-    rollup = staged(rollup, "rollup")
+    rollup, batch = (staged(x, "copy") for x in _copies(spark, sf_dir))
     prices = field_differences(differing(rollup, batch, KEYS, FIELDS), KEYS, FIELDS, missing=("missing_in_rollup", "missing_in_batch"))
     bars = (
         table(spark, sf_dir, "gold_minute_bars").filter("composite_figi is not null")
         .select(F.upper(F.trim("symbol")).alias("symbol"), F.col("event_date").alias("price_date"), "composite_figi").distinct()
     )
+    bars = staged(bars, "bars")
     others = differing(rollup.select(*KEYS, "composite_figi"), bars, KEYS, ["composite_figi"]).filter("side = 1").select(*KEYS).distinct()
     figi = others.join(rollup.select(*KEYS), KEYS, "left_semi").withColumn("finding", F.lit("bar_figi"))
     return prices.unionByName(figi).select("symbol", F.col("price_date").cast("string").alias("price_date"), "finding")
