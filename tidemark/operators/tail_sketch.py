@@ -5,7 +5,7 @@ sorted and every other item of it moves one level up, the rest is dropped; how m
 count of earlier compactions (as many sections as that count has trailing ones, and one), and the upper half never does. So
 the greatest values are kept exactly or nearly so, and the error of a rank is proportional to its distance from the top:
 for the value at rank r of n, with section size k, one standard deviation is about ``0.1306 / k * (n - r)`` positions. The
-reported bound is three of them. Sections grow in number and shrink in size as a buffer sees more compactions.
+reported bound is ``DEVIATIONS`` of them, so that it holds over very many groups at once. Sections grow in number and shrink in size as a buffer sees more compactions.
 
 Sketches merge level by level, in any grouping, under the same bound, so those of input partitions make those of days, and
 those of days make that of all days. Values reach a sketch before any exchange; only sketches are shuffled, and a hot
@@ -13,7 +13,7 @@ group costs no more than any other: each input partition sends one sketch of it.
 they are merged in two rounds.
 
 Defined results: nulls and NaN have no rank and are left out of n; a group without any value gives no row; infinite values
-rank at the ends; a null key is a key of its own; with at most 6 * k values in a group all percentiles are exact, and the
+rank at the ends; a null key is a key of its own; with fewer than 6 * k values in a group all percentiles are exact, and the
 one at p is the least value at or below which lie p * n values or more; an empty table gives an empty result.
 """
 
@@ -34,6 +34,8 @@ SECTION = 32
 SECTIONS = 3
 #: Standard deviation of a rank, over k and over the distance from the top.
 SPREAD = (0.0512 / SECTIONS) ** 0.5
+#: Standard deviations in the reported bound.
+DEVIATIONS = 5
 MASK = (1 << 64) - 1
 #: Groups held at once by a task; beyond, their sketches so far are sent on and begun anew, to be merged later.
 GROUPS = 20_000
@@ -132,8 +134,8 @@ def _even(x: float) -> int:
 
 
 def rank_bound(k: int, p: float) -> float:
-    """Three standard deviations of the rank at p, as a share of n."""
-    return 3 * SPREAD / k * (1 - p)
+    """The bound of the rank at p, as a share of n."""
+    return DEVIATIONS * SPREAD / k * (1 - p)
 
 
 def _build(k: int, n_keys: int, rows: int = 1 << 18):
