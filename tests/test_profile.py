@@ -1,9 +1,10 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
 
-from tidemark.operators.profile import DECILES, findings, profile, value_counts
+from tidemark.operators.profile import DECILES, changes, findings, profile, value_counts
 
 BASE = "column_name string, null_rate double, min_value double, max_value double, pattern string, " + ", ".join(f"{q} double" for q in DECILES)
 SCHEMA = "load int, value double, n string, partner string"
@@ -69,3 +70,35 @@ def test_change_between_loads(spark):
 def test_any_column_names_and_types(spark):
     df = spark.sql("select 1 load, 'a' `e.x`, array(1, 2) arr, named_struct('a', 1) st, cast(null as int) `column_name`, true ok")
     assert {r.column_name for r in value_counts(df, "load").collect()} == {"e.x", "arr", "st", "column_name", "ok"}
+
+
+def test_changed_identifiers_show_by_value(spark):
+    """A third of 1,200 identifiers damaged: hash bins don't show it, their values do."""
+    rows = [(1, f"BBG{i:09d}") for i in range(1200)] + [(2, f"BBG{i:09d}" if i % 3 else f"bbg{i:09d}") for i in range(1200)]
+    counts = value_counts(spark.createDataFrame(rows, "load int, n string"), "load")
+    out = {(r.load, r.column_name): r for r in changes(counts, base(spark)).collect()}
+    assert set(out) == {(2, "n")}
+    p, q, half = 1.5 / 1200.5, 0.5 / 1200.5, 400
+    r = out[2, "n"]
+    assert r.psi == pytest.approx(2 * half * (p - q) * math.log(p / q)) and r.chi_square == pytest.approx(2 * half) and r.n_bins == 1600
+    assert {x.load: x.psi for x in profile(counts, base(spark)).collect()}[2] < r.psi / 10
+
+
+def test_numbers_without_baseline_by_deciles_of_the_load_before(spark):
+    """Within one power of two, so that only quantiles of the load before show the move."""
+    r = random.Random(1)
+    loads = {1: [r.choice([None, math.nan, 70 + r.random() * 50]) if r.random() < 0.3 else 70 + r.random() * 50 for _ in range(999)], 2: [100 + r.random() * 20 for _ in range(500)], 3: [None] * 7, 4: [80.0] * 10}
+    counts = value_counts(spark.createDataFrame([(k, v) for k, x in loads.items() for v in x] + [(None, 1.0)], "load int, other double"), "load")
+    out = {x.load: x for x in changes(counts, base(spark)).collect()}
+    assert set(out) == {2, 3, 4}
+    for k, x in out.items():
+        now, old = loads[k], loads[k - 1]
+        real = sorted(v for v in old if v is not None and v == v)
+        cuts = [real[-(-i * len(real) // 10) - 1] for i in range(1, 10)] if real else []
+        place = lambda v: "null" if v is None else "nan" if v != v else sum(v > q for q in cuts)  # noqa: B023, E731
+        a, z = Counter(map(place, now)), Counter(map(place, old))
+        n, m, both = len(now), len(old), set(a) | set(z)
+        terms = [((a[b] + 0.5) / (n + 0.5), (z[b] + 0.5) / (m + 0.5)) for b in both]
+        assert x.psi == pytest.approx(sum((p - q) * math.log(p / q) for p, q in terms)) and (x.n_bins, x.row_count, x.rows_before) == (len(both), n, m)
+        assert x.chi_square == pytest.approx(sum((math.sqrt(m / n) * a[b] - math.sqrt(n / m) * z[b]) ** 2 / (a[b] + z[b]) for b in both))
+    assert out[2].psi > 1

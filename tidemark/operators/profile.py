@@ -2,8 +2,9 @@
 
 All columns of a table are unpivoted to (load, column, value) and counted; equal values collapse in each input partition
 before they are shuffled, and the shuffle key holds the value, so no load or column is worked on by one task. Everything
-else comes from the counts: null rates, distinct numbers, ranges, violations of a pattern, and frequencies over bins, by
-which a load is compared with the one before it (population stability index and chi-square).
+else comes from the counts: null rates, distinct numbers, ranges, violations of a pattern, and frequencies, by which a
+load is compared with the one before it (population stability index and chi-square). ``changes`` compares text value by
+value and numbers over the deciles of the load before; ``profile`` has the same measures over fixed, coarse bins.
 
 Values are counted as text; a number's text reads back as the same number. Defined results: null, NaN and the empty
 string are three values; a null load is a load of its own; a column named like the load column's own is not profiled;
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
+from tidemark.session import staged, width
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 DECILES = [f"q{i}0" for i in range(1, 10)]
@@ -69,11 +71,22 @@ def findings(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     return g.select("load", "column_name", F.explode(found).alias("finding"))
 
 
+def _distances() -> tuple[Column, Column]:
+    """psi and chi_square over bins with a rows of row_count now and z of rows_before before."""
+    p, q = (F.col("a") + 0.5) / (F.col("row_count") + 0.5), (F.col("z") + 0.5) / (F.col("rows_before") + 0.5)
+    ra, rz = F.sqrt(F.col("rows_before") / F.col("row_count")), F.sqrt(F.col("row_count") / F.col("rows_before"))
+    return (
+        F.sum((p - q) * F.log(p / q)).alias("psi"),
+        F.sum(F.pow(ra * F.col("a") - rz * F.col("z"), 2) / (F.col("a") + F.col("z"))).alias("chi_square"),
+    )
+
+
 def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     """Per load and column: rows, nulls, distinct values, range, most frequent value, and the change since the load before.
 
     Bins: the deciles of baseline for the columns it has; for other numbers their sign and the bits of their ten-thousandths,
     so that a bin spans a factor of two; for the rest 16 hash bins of the value. psi and chi_square compare counts per bin, each with half a row added to keep logarithms finite.
+    Hash bins hardly show changed identifiers: for those, changes compares the values themselves.
     """
     v = F.when(F.col("numeric"), F.col("value").try_cast("double"))
     flat = counts.groupBy("load", "column_name", "numeric", "value").agg(F.sum("n").alias("n"))
@@ -103,14 +116,58 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     )
     both = cur.unionAll(old).groupBy("load", "column_name", "bin").agg(F.sum("a").alias("a"), F.sum("z").alias("z"))
     both = both.join(loads.select("load", "column_name", "row_count", "rows_before"), ["load", "column_name"])
-    p, q = (F.col("a") + 0.5) / (F.col("row_count") + 0.5), (F.col("z") + 0.5) / (F.col("rows_before") + 0.5)
-    ra, rz = F.sqrt(F.col("rows_before") / F.col("row_count")), F.sqrt(F.col("row_count") / F.col("rows_before"))
-    change = both.groupBy("load", "column_name").agg(
-        F.sum((p - q) * F.log(p / q)).alias("psi"),
-        F.sum(F.pow(ra * F.col("a") - rz * F.col("z"), 2) / (F.col("a") + F.col("z"))).alias("chi_square"),
-    )
+    change = both.groupBy("load", "column_name").agg(*_distances())
     return (
         g.join(change, ["load", "column_name"], "left")
         .withColumn("null_rate", F.col("null_count") / F.col("row_count"))
         .select("load", "column_name", "row_count", "null_count", "null_rate", "nan_count", "distinct_count", "least_number", "greatest_number", "least_text", "greatest_text", F.when(~F.col("numeric"), F.col("top.value")).alias("top_text"), F.col("top.x").alias("top_number"), F.col("top.n").alias("top_count"), "psi", "chi_square")
     )
+
+
+def load_deciles(flat: DataFrame) -> DataFrame:
+    """load, column_name, own: the exact deciles of each load's numbers, from (load, column_name, v, n). The k-th is the least value up to which k tenths of the rows lie.
+
+    Values are put in order over range partitions, so a column of many values is ranked by many tasks.
+    """
+    by = ["load", "column_name", "v"]
+    put = flat.repartitionByRange(width(flat.sparkSession), *by).sortWithinPartitions(*by).withColumn("pid", F.spark_partition_id())
+    put = staged(put, "ranked")
+    each = Window.partitionBy("load", "column_name")  # as many rows as partitions that hold the column
+    sums = put.groupBy("pid", "load", "column_name").agg(F.sum("n").alias("s"))
+    earlier = each.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("pid", "load", "column_name", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("offset"), F.sum("s").over(each).alias("total"))
+    inside = Window.partitionBy("pid", "load", "column_name").orderBy("v")
+    ranked = put.withColumn("upto", F.sum("n").over(inside)).join(sums, ["pid", "load", "column_name"])
+    reached = lambda k: (F.col("offset") + F.col("upto")) * 10 >= F.col("total") * k
+    return ranked.groupBy("load", "column_name").agg(F.array(*(F.min(F.when(reached(k), F.col("v"))) for k in range(1, 10))).alias("own"))
+
+
+def changes(counts: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Each load's columns against the load before: load, column_name, rows_before, row_count, n_bins, psi, chi_square.
+
+    Bins: every value for columns that aren't numbers; the deciles of baseline for the numbers it has, and for others the
+    exact deciles of the load before. Null and NaN are bins. Measures as in profile. The first load has no row, nor has the null load.
+    """
+    v = F.when(F.col("numeric"), F.col("value").try_cast("double"))
+    flat = counts.filter("load is not null").groupBy("load", "column_name", "numeric", "value").agg(F.sum("n").alias("n")).withColumn("v", v)
+    flat = staged(flat, "counts")
+    fixed = baseline.filter("q50 is not null").select("column_name", F.array(*map(F.col, DECILES)).alias("fixed"))
+    free = flat.filter("numeric and v is not null and not isnan(v)").join(fixed, "column_name", "left_anti").select("load", "column_name", "v", "n")
+    order = Window.partitionBy("column_name").orderBy("load")  # as many rows as loads
+    loads = flat.groupBy("load", "column_name").agg(F.sum("n").alias("row_count")).join(load_deciles(free), ["load", "column_name"], "left")
+    loads = loads.join(fixed, "column_name", "left").select("load", "column_name", "row_count", F.coalesce("fixed", "own").alias("cuts"))
+    loads = loads.withColumns({"rows_before": F.lag("row_count").over(order), "cuts_before": F.lag("cuts").over(order), "next": F.lead("load").over(order)})
+    loads = staged(loads, "loads")  # a row per load and column
+
+    def bin_(cuts: str) -> Column:
+        decile = F.size(F.filter(F.coalesce(F.col(cuts), F.array().cast("array<double>")), lambda q: F.col("v") > q))
+        return F.when(F.col("value").isNull(), "null").when(~F.col("numeric"), F.concat(F.lit("="), "value")).when(F.isnan("v"), "nan").otherwise(decile.cast("string"))
+
+    nil = F.lit(0).cast("bigint")
+    placed = flat.join(loads.select("load", "column_name", "cuts", "cuts_before", "rows_before", "next"), ["load", "column_name"])
+    now = placed.filter("rows_before is not null").select("load", "column_name", bin_("cuts_before").alias("bin"), F.col("n").alias("a"), nil.alias("z"))
+    old = placed.filter("next is not null").select(F.col("next").alias("load"), "column_name", bin_("cuts").alias("bin"), nil.alias("a"), F.col("n").alias("z"))
+    both = now.unionAll(old).groupBy("load", "column_name", "bin").agg(F.sum("a").alias("a"), F.sum("z").alias("z"))
+    both = both.join(loads.select("load", "column_name", "row_count", "rows_before"), ["load", "column_name"])
+    psi, chi_square = _distances()
+    return both.groupBy("load", "column_name", "rows_before", "row_count").agg(F.count(F.lit(1)).alias("n_bins"), psi, chi_square)

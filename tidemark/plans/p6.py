@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import stamp
-from tidemark.operators.profile import findings, profile, value_counts
+from tidemark.operators.profile import changes, findings, profile, value_counts
 from tidemark.sources.tables import table
 
 #: The tables, the column that tells their loads apart, the columns of the baseline, and those checked to map one to one.
@@ -40,7 +40,17 @@ def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionAll(parts[1])
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_profile)}
+def p6_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of every load against the load before: text by value, numbers by deciles."""
+    parts = []
+    for name, load, _, _ in LOADS:
+        out = changes(value_counts(table(spark, sf_dir, name), load), _baseline(spark, sf_dir, name))
+        rounded = [F.round(F.col(x) + 1e-9, 4).alias(x) for x in ("psi", "chi_square")]
+        parts.append(out.select(F.lit(name).alias("table_name"), stamp(F.col("load")).alias("load_ts"), "column_name", "rows_before", "row_count", "n_bins", *rounded))
+    return parts[0].unionAll(parts[1])
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_profile, p6_changes)}
 
 
 def _sql() -> str:
@@ -104,4 +114,34 @@ def _profile_sql() -> str:
         FROM g LEFT JOIN top USING (t, load, c) LEFT JOIN change USING (t, load, c)"""
 
 
-SQL = {"p6_found": _sql(), "p6_profile": _profile_sql()}
+def _changes_sql() -> str:
+    long = []
+    for name, load, _, _ in LOADS:
+        for x in _COLUMNS[name].split():
+            v = f"CAST({x[:-1]} AS DOUBLE)" if x.endswith("#") else "CAST(NULL AS DOUBLE)"
+            t = "CAST(NULL AS VARCHAR)" if x.endswith("#") else f"CAST({x} AS VARCHAR)"
+            long.append(f"SELECT '{name}' AS t, {load} AS load, '{x.rstrip('#')}' AS c, {v} AS v, {t} AS s FROM {name}")
+    own = ", ".join(f"min(v) FILTER (10 * upto >= {i} * total) AS o{i}" for i in range(1, 10))
+    cuts = ", ".join(f"CASE WHEN q50 IS NULL THEN o{i} ELSE q{i}0 END AS c{i}" for i in range(1, 10))
+    before = ", ".join(f"lag(c{i}) OVER w AS b{i}" for i in range(1, 10))
+    bin_ = lambda p: (
+        "CASE WHEN v IS NULL AND s IS NULL THEN 'null' WHEN s IS NOT NULL THEN '=' || s WHEN isnan(v) THEN 'nan' ELSE CAST("
+        + " + ".join(f"(CASE WHEN v > {p}{i} THEN 1 ELSE 0 END)" for i in range(1, 10)) + " AS VARCHAR) END"
+    )
+    return f"""
+        WITH long AS ({" UNION ALL ".join(long)}),
+        flat AS (SELECT t, load, c, v, s, count(*) AS n FROM long WHERE load IS NOT NULL GROUP BY ALL),
+        ranked AS (SELECT t, load, c, v, sum(n) OVER (PARTITION BY t, load, c ORDER BY v) AS upto, sum(n) OVER (PARTITION BY t, load, c) AS total FROM flat WHERE v IS NOT NULL AND NOT isnan(v)),
+        own AS (SELECT t, load, c, {own} FROM ranked GROUP BY ALL),
+        sized AS (SELECT t, load, c, CAST(sum(n) AS BIGINT) AS row_count FROM flat GROUP BY ALL),
+        cuts AS (SELECT g.*, {cuts} FROM sized g LEFT JOIN own USING (t, load, c) LEFT JOIN profile_baseline b ON g.t = b.table_name AND g.c = b.column_name),
+        loads AS (SELECT *, lag(row_count) OVER w AS rows_before, lead(load) OVER w AS next, {before} FROM cuts WINDOW w AS (PARTITION BY t, c ORDER BY load)),
+        both_ AS (SELECT t, load, c, bin, sum(a) AS a, sum(z) AS z FROM (
+            SELECT f.t, f.load, f.c, {bin_("b")} AS bin, n AS a, 0 AS z FROM flat f JOIN loads l ON f.t = l.t AND f.load = l.load AND f.c = l.c WHERE rows_before IS NOT NULL
+            UNION ALL SELECT f.t, l.next, f.c, {bin_("c")}, 0, n FROM flat f JOIN loads l ON f.t = l.t AND f.load = l.load AND f.c = l.c WHERE next IS NOT NULL) GROUP BY ALL),
+        x AS (SELECT b.*, row_count, rows_before, (a + 0.5) / (row_count + 0.5) AS p, (z + 0.5) / (rows_before + 0.5) AS q FROM both_ b JOIN loads USING (t, load, c))
+        SELECT t AS table_name, strftime(load, '%Y-%m-%d %H:%M:%S') AS load_ts, c AS column_name, rows_before, row_count, count(*) AS n_bins, round(sum((p - q) * ln(p / q)) + 1e-9, 4) AS psi,
+          round(sum(pow(sqrt(CAST(rows_before AS DOUBLE) / row_count) * a - sqrt(CAST(row_count AS DOUBLE) / rows_before) * z, 2) / (a + z)) + 1e-9, 4) AS chi_square FROM x GROUP BY ALL"""
+
+
+SQL = {"p6_found": _sql(), "p6_profile": _profile_sql(), "p6_changes": _changes_sql()}
