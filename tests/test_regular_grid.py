@@ -3,7 +3,7 @@ from datetime import date, datetime
 
 import numpy as np
 
-from tidemark.operators.regular_grid import regular_grid, ssa_fill
+from tidemark.operators.regular_grid import regular_grid, ssa_converged, ssa_fill
 
 
 def plain_ssa(y, window, rank, tol, most):
@@ -47,6 +47,30 @@ def test_a_wave_comes_back_through_a_gap():
     assert err < 0.3 * np.abs(flat - true[80:100]).max()
 
 
+def test_slow_series_are_iterated_to_the_end():
+    rng = np.random.default_rng(3)
+    y = 100 + np.cumsum(rng.normal(0, 0.3, (20, 210)), axis=1)
+    y[rng.random(y.shape) < 0.3] = np.nan
+    y[::2, 90:120] = np.nan
+    got, rests = ssa_converged(y)
+    early, at_60 = ssa_converged(y, most=60)
+    assert rests.all() and 0 < at_60.sum() < len(y)
+    assert (ssa_fill(y) == got).all()
+    for i in range(len(y)):
+        plain = plain_ssa(y[i], 24, 3, 1e-5, 5000)
+        assert np.allclose(got[i], plain, rtol=1e-6)
+        assert at_60[i] == np.allclose(early[i], plain, rtol=1e-9)
+
+
+def test_series_stopped_early_are_reported(spark):
+    day = (date(2020, 1, 2), ts(14, 30), ts(14, 50))
+    bars = [("A", ts(14, 30 + i), 10.0 + i % 7, 1, "") for i in range(20) if i not in (5, 6, 12)] + [("B", ts(14, 30 + i), 10.0, 1, "") for i in range(20)]
+    b, s = spark.createDataFrame(bars, BAR), spark.createDataFrame([day], SESSION)
+    args = (b, s, "symbol", "window_start", "close_price", "session_date", "open_utc", "close_utc")
+    told = lambda **kw: {(r.source, r.converged) for r in regular_grid(*args, **kw).collect()}
+    assert told(most=1) == {("A", False), ("B", True)} and told() == {("A", True), ("B", True)}
+
+
 def test_degenerate_series():
     nan, inf = math.nan, math.inf
     assert np.isnan(ssa_fill([[nan] * 9])).all()

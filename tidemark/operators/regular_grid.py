@@ -7,7 +7,9 @@ spread over hash buckets and filled in Arrow batches, series of one length toget
 1. gaps get straight lines between their neighbours as a first guess;
 2. the Hankel trajectory matrix of each series (``window`` lags) is truncated to its ``rank`` greatest singular vectors;
 3. averaging over the anti-diagonals gives a smooth series, which replaces the missing entries, and only those;
-4. steps 2 and 3 are repeated until no missing entry moves by more than ``tol`` of the series' scale, or ``most`` times.
+4. steps 2 and 3 are repeated until no missing entry moves by more than ``tol`` of the series' scale. Each series is iterated
+   until its own movement is that small, however many rounds it takes; ``most`` is a far safety stop, and a series that
+   reaches it is reported as not ``converged``.
 
 Filled periods are marked. Defined results: a reading is usable if it isn't null, isn't NaN and is above ``floor``; of
 several usable readings in a period the last one counts (ties: ``tie``, then the greater value); readings outside every
@@ -30,8 +32,17 @@ from tidemark.functions.columns import c, from_micros, micros
 from tidemark.session import width
 
 
-def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = 60) -> np.ndarray:
+#: Rounds of a series at most: far beyond what series need (under 200 at sf0.1), so that a series that doesn't settle can't hold a task for good.
+MOST = 10_000
+
+
+def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST) -> np.ndarray:
     """y, series by row with NaN where missing, filled. Rows without any value stay NaN."""
+    return ssa_converged(y, window, rank, tol, most)[0]
+
+
+def ssa_converged(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """ssa_fill's result, and whether each series came to rest; one that needs no rounds has."""
     given = np.array(y, float)
     y = np.where(np.isinf(given), np.nan, given)  # kept as read, but no guide for the others
     m, n = y.shape
@@ -41,10 +52,12 @@ def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5,
     at = np.arange(n)
     for i in np.flatnonzero(some & missing.any(axis=1)):
         x[i, missing[i]] = np.interp(at[missing[i]], at[~missing[i]], y[i, ~missing[i]])
+    rests = np.ones(m, bool)
     lags = min(window, n // 2)
     todo = np.flatnonzero(some & missing.any(axis=1) & ((~missing).sum(axis=1) > 1))
     if lags < 2 or not len(todo):
-        return np.where(np.isinf(given), given, x)
+        return np.where(np.isinf(given), given, x), rests
+    rests[todo] = False
     rank, cols = min(rank, lags - 1), n - lags + 1
     scale = np.maximum(np.abs(np.nanmean(y[todo], axis=1)), 1e-12)
     weight = np.minimum(np.minimum(at + 1, n - at), min(lags, cols)).astype(float)
@@ -63,17 +76,18 @@ def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5,
         moved = np.where(gap, np.abs(smooth - cur), 0).max(axis=1) / scale
         cur = np.where(gap, smooth, cur)
         x[todo] = cur
-        stay = moved > tol
+        stay = ~(moved <= tol)
+        rests[todo[~stay]] = True
         todo, scale = todo[stay], scale[stay]
         if not len(todo):
             break
-    return np.where(np.isinf(given), given, x)
+    return np.where(np.isinf(given), given, x), rests
 
 
 def _fill(window: int, rank: int, tol: float, most: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            values, filled = [None] * len(b), [None] * len(b)
+            values, filled, converged = [None] * len(b), [None] * len(b), np.ones(len(b), bool)
             sizes = b["n"].to_numpy()
             for n in np.unique(sizes):
                 rows = np.flatnonzero(sizes == n)
@@ -83,20 +97,20 @@ def _fill(window: int, rank: int, tol: float, most: int):
                         at = b["at"].iat[r]
                         if at is not None and len(at):
                             y[j, at] = b["v"].iat[r]
-                    done = ssa_fill(y, window, rank, tol, most)
+                    done, converged[some] = ssa_converged(y, window, rank, tol, most)
                     for j, r in enumerate(some):
                         values[r] = [None if np.isnan(z) else float(z) for z in done[j]]
                         filled[r] = np.isnan(y[j])
-            yield b[["source", "session", "open"]].assign(values=values, filled=filled)
+            yield b[["source", "session", "open"]].assign(values=values, filled=filled, converged=converged)
 
     return run
 
 
 def regular_grid(
     readings: DataFrame, sessions: DataFrame, source: str, time: str, value: str, session: str, opens: str, closes: str,
-    period_s: int = 60, floor: float = 0.0, tie: Column | None = None, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = 60,
+    period_s: int = 60, floor: float = 0.0, tie: Column | None = None, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST,
 ) -> DataFrame:
-    """One row per source, session with at least one reading, and period: source, session, period_start, value, filled."""
+    """One row per source, session with at least one reading, and period: source, session, period_start, value, filled, converged (of the series)."""
     step = period_s * 1_000_000
     day = 86_400_000_000
     s = sessions.select(c(session).alias("session"), micros(c(opens)).alias("open"), micros(c(closes)).alias("close"))
@@ -123,9 +137,9 @@ def regular_grid(
     )
     kind = readings.schema[source].dataType.simpleString()
     filled = series.mapInPandas(
-        _fill(window, rank, tol, most), f"source {kind}, session string, open bigint, values array<double>, filled array<boolean>"
+        _fill(window, rank, tol, most), f"source {kind}, session string, open bigint, values array<double>, filled array<boolean>, converged boolean"
     )
-    cells = filled.select("source", "session", "open", F.posexplode(F.arrays_zip("values", "filled")).alias("i", "cell"))
+    cells = filled.select("source", "session", "open", "converged", F.posexplode(F.arrays_zip("values", "filled")).alias("i", "cell"))
     return cells.select(
-        "source", "session", from_micros(F.col("open") + F.col("i").cast("bigint") * F.lit(step)).alias("period_start"), F.col("cell.values").alias("value"), F.col("cell.filled").alias("filled")
+        "source", "session", from_micros(F.col("open") + F.col("i").cast("bigint") * F.lit(step)).alias("period_start"), F.col("cell.values").alias("value"), F.col("cell.filled").alias("filled"), "converged"
     )

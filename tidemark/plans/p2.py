@@ -22,10 +22,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_minute_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One close per symbol, session and minute; filled ones are marked."""
+    """One close per symbol, session and minute; filled ones are marked, and so are series whose filling didn't converge."""
     return _grid(spark, sf_dir).select(
         F.col("source").alias("symbol"), F.col("session").alias("session_date"), stamp(F.col("period_start")).alias("window_start"),
-        F.col("value").alias("close_price"), "filled",
+        F.col("value").alias("close_price"), "filled", "converged",
     )
 
 
