@@ -1,5 +1,7 @@
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -24,6 +26,35 @@ def test_every_prefix_is_less_than_a_block_off(shares):
             assert abs(done - (t + 1) * w) < 1
 
 
+def test_no_drift_from_the_targets_in_a_long_mix():
+    """Against the target weights, not those of the schedule itself."""
+    parts = {"filings": 20, "wire": 5, "research": 15, "chat": 23, "web": 35}
+    slots = period({s: n / 100 for s, n in parts.items()})
+    h = sum(map(len, slots.values()))
+    for s, n in parts.items():
+        for t in (h, 1_000, 15_000, 1_000_000, 10_000_019):
+            done = t // h * len(slots[s]) + sum(x < t % h for x in slots[s])
+            assert abs(done - Fraction(n, 98) * t) < 1
+
+
+def test_weights_of_a_long_period():
+    weights = {"a": 0.123456789, "b": 0.5123, "c": 2**0.5 / 4, "d": 1e-9}
+    need = {"a": 300, "b": 1200, "c": 900, "d": 1}
+    total = sum(Fraction(repr(w)) for w in weights.values())
+    slots = period(weights, need)
+    assert {s: len(x) for s, x in slots.items()} == need and len({t for x in slots.values() for t in x}) == 2401
+    for s, x in slots.items():
+        w = Fraction(repr(weights[s])) / total
+        assert all(math.floor(i / w) <= t < math.ceil((i + 1) / w) for i, t in enumerate(x))
+
+
+def test_mix_of_weights_of_a_long_period(spark):
+    goals = [("big", 0.5123456789, 1), ("mid", 2**0.5 / 5, 2)]
+    out, report = run(spark, made(), goals, block_tokens=100)
+    used = {s: sum(x.source == s for x in out) for s in report}
+    assert all(r.n_used == used[s] > 0 for s, r in report.items()) and len({(x.source, x.slot) for x in out}) == len({(x.source, x.start_token // 100) for x in out})
+
+
 def made(seed=0):
     r = random.Random(seed)
     rows, i = [], 0

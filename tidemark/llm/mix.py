@@ -6,9 +6,10 @@ into the slots between its release floor(i / w) and its deadline ceil((i + 1) /
 block of the earliest deadline meets all deadlines, so at any point of the mix every source is less than one block away
 from its share (and a text longer than a block is never cut, so a block may run over by the text it starts last).
 
-Weights are held in whole ``1 / GRAIN`` parts, which makes the schedule periodic: it is worked out once for a period of at
-most ``GRAIN`` slots, and the slot of any block of any source follows by arithmetic. So no task ever sees the schedule of
-the whole corpus. Running sums of sizes are made in two steps, over hash buckets and inside them, so a source holding a
+Weights are exact fractions of the targets, never rounded, so a source doesn't drift from its target however long the mix.
+They make the schedule periodic: it is worked out once for a period (98 slots for shares of whole per cent over 0.98; at
+most 10,000 for shares of up to four decimals that add up to at most 1), and the slot of any block follows by arithmetic.
+Weights whose period is longer than the mix have the slots of the mix's own blocks worked out, in the driver, instead. Running sums of sizes are made in two steps, over hash buckets and inside them, so a source holding a
 third of all texts is summed by many tasks.
 
 The total is the largest for which every source can give its share within its cap, unless a smaller one is asked for; if a
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,29 +42,44 @@ BUCKET_ROWS = 50_000
 SMALL_ROWS = GRAIN
 
 
-def period(shares: dict[str, float]) -> dict[str, list[int]]:
-    """For each source the slots of its blocks within one period, by earliest deadline first."""
-    total = sum(shares.values())
-    parts = {s: max(1, round(w / total * GRAIN)) for s, w in shares.items() if w > 0}
+def exact(x: float | Fraction) -> Fraction:
+    """The weight a double stands for: the fraction of small numbers that reads as it, or else its decimals."""
+    if isinstance(x, Fraction):
+        return x
+    near = Fraction(x).limit_denominator(GRAIN)
+    return near if float(near) == x else Fraction(repr(float(x)))
+
+
+def period(shares: dict[str, float | Fraction], need: dict[str, int] | None = None) -> dict[str, list[int]]:
+    """For each source the slots of its blocks within one period, by earliest deadline first.
+
+    need: how many blocks each source has at most. If all together are fewer than the period's slots, only they get slots.
+    """
+    weights = {s: exact(w) for s, w in sorted(shares.items()) if w > 0}
+    whole = math.lcm(*(w.denominator for w in weights.values()))
+    parts = {s: int(w * whole) for s, w in weights.items()}
     part = math.gcd(*parts.values()) if parts else 1
-    parts = {s: n // part for s, n in sorted(parts.items())}
+    parts = {s: n // part for s, n in parts.items()}
     h = sum(parts.values())
+    last = parts if need is None or sum(need[s] for s in parts) >= h else need
     slots: dict[str, list[int]] = {s: [] for s in parts}
-    due: list[list] = [[] for _ in range(h)]
-    for s, n in parts.items():
-        due[0].append((-(-h // n), -n, s, 0))
+    waiting = [(0, -(-h // n), -n, s, 0) for s, n in parts.items() if last[s] > 0]
+    heapq.heapify(waiting)
     ready: list = []
-    for t in range(h):
-        for x in due[t]:
-            heapq.heappush(ready, x)
+    t = 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
+        while waiting and waiting[0][0] <= t:
+            heapq.heappush(ready, heapq.heappop(waiting)[1:])
         deadline, _, s, i = heapq.heappop(ready)
         if deadline <= t:
             raise AssertionError("a deadline was missed")
         slots[s].append(t)
         n = parts[s]
-        if i + 1 < n:
-            release = max((i + 1) * h // n, t + 1)
-            due[release].append((-(-(i + 2) * h // n), -n, s, i + 1))
+        if i + 1 < last[s]:
+            heapq.heappush(waiting, (max((i + 1) * h // n, t + 1), -(-(i + 2) * h // n), -n, s, i + 1))
+        t += 1
     return slots
 
 
@@ -77,7 +94,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, bl
     """
     spark = docs.sparkSession
     # one row per source of the mix, written by hand
-    goals = {r[0]: (r[1], r[2]) for r in targets.groupBy(normal_source(c("source")).alias("s")).agg(F.sum("target_share"), F.min("max_repeats")).collect() if r[0] is not None}
+    given = targets.groupBy(normal_source(c("source")).alias("s")).agg(F.collect_list(c("target_share").cast("double")), F.min("max_repeats")).collect()
+    goals = {r[0]: (sum(map(exact, r[1]), Fraction(0)), r[2]) for r in given if r[0] is not None}
     once = (
         docs.withColumn("source", normal_source(c("source"))).filter(F.col("source").isin(list(goals)))
         .groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("d")).select("d.*")
@@ -87,15 +105,15 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, bl
     sizes = {r["source"]: (r["n"], r["t"]) for r in once.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).collect()}
     have = {s: goals[s][0] for s, (_, t) in sizes.items() if t and goals[s][0] > 0 and goals[s][1] > 0}
     weight = {s: w / sum(have.values()) for s, w in have.items()}
-    most = min((sizes[s][1] * goals[s][1] / w for s, w in weight.items()), default=0)
+    most = min((sizes[s][1] * goals[s][1] / float(w) for s, w in weight.items()), default=0)
     total = most if total_tokens is None else total_tokens
     rows = []
     for s, (share, cap) in sorted(goals.items()):
         n, t = sizes.get(s, (0, 0))
-        quota = min(weight.get(s, 0.0) * total, float(t * cap))
-        rows.append((s, float(share), weight.get(s, 0.0), int(cap), int(n), int(t), quota, math.ceil(quota / t) if t else 0))
+        quota = min(float(weight.get(s, 0.0)) * total, float(t * cap))
+        rows.append((s, float(share), float(weight.get(s, 0.0)), int(cap), int(n), int(t), quota, math.ceil(quota / t) if t else 0))
     plan = spark.createDataFrame(rows, "source string, target_share double, weight double, max_repeats int, n_texts bigint, source_tokens bigint, quota double, passes int")
-    slots = period(have)
+    slots = period(have, {r[0]: math.floor(r[6] / block_tokens) + 1 for r in rows})
     cycle = [(s, i, t) for s, x in slots.items() for i, t in enumerate(x)]
     schedule = spark.createDataFrame(cycle, "source string, i bigint, slot_in_period bigint")
     length = len(cycle)
