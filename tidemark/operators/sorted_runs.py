@@ -2,8 +2,9 @@
 
 A store is a bucketed parquet table in the shared folder. Each upserted batch becomes one sorted run per bucket (the
 table partition ``run``); upserting a batch again replaces its own run, so retries change nothing. Compaction reads
-all runs of a bucket in the task that owns the bucket and merges them in key order, so equal identifiers meet and
-collapse to one. Rows move once, in the upsert; compaction has no exchange, as the table is bucketed by the identifier.
+all runs of a bucket in the task that owns the bucket and aggregates them by identifier, so equal identifiers meet and
+collapse to one. The runs aren't merged by their order, which Spark doesn't report for bucket files: they are grouped, or
+sorted, again. Rows move once, in the upsert; compaction has no exchange, as the table is bucketed by the identifier.
 
 A copy repeated very often costs no more than any other: copies collapse inside each input partition before the
 exchange (partial aggregation), so a bucket never receives more than one row of an identifier per input task and run.
