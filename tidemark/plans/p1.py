@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import plain
-from tidemark.operators.sorted_runs import exactly_once
+from tidemark.operators.sorted_runs import delivered, exactly_once
 from tidemark.sources.tables import table
 
 
@@ -32,7 +32,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_trades_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """silver_trades with one whole row per (symbol, trade_id): the copy with the greatest offset."""
     df = table(spark, sf_dir, "silver_trades")
-    return plain(exactly_once(df, ["symbol", "trade_id"], ["kafka_offset", "bronze_ingest_timestamp"], "bronze_ingest_timestamp"), "exchange_id")
+    store = delivered(df, ["symbol", "trade_id"], ["kafka_offset", "bronze_ingest_timestamp"], "bronze_ingest_timestamp")
+    store.rewrite()
+    store.upsert(df.limit(0), "b0")  # a batch that comes again after the rewrite
+    return plain(store.compact(), "exchange_id")
 
 
 def p1_bronze_once(spark: SparkSession, sf_dir: str) -> DataFrame:

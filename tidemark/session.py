@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", at)
         _written.append(at)
@@ -70,6 +72,12 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The planner's estimate of df's size, from its files; nothing is read. 0 if it has none, as for rows made in the driver."""
+    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return n if n < 1 << 57 else 0
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df for work that costs far more than moving its rows: in as many partitions as a shuffle has, if it has fewer."""
     n = width(df.sparkSession)
