@@ -116,3 +116,26 @@ def test_tolerance_and_empty_copies(spark):
 def test_latest_row(spark):
     df = spark.createDataFrame([("A", 1, 5.0), ("A", 2, 1.0), ("A", 2, 1.0), ("A", 2, None), (None, None, 3.0)], "k string, v int, x double")
     assert sorted(map(tuple, latest(df, ["k"], ["v"]).collect()), key=repr) == [("A", 2, 1.0), (None, None, 3.0)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,0)", "decimal(38,4)"])
+def test_whole_numbers_and_decimals_are_exact(spark, kind):
+    big = [2**53, 2**53 + 1, 10**17, 10**17 + 1, 10**18, 10**18 + 100]
+    make = lambda add: spark.createDataFrame([(i, x + add * (i % 2)) for i, x in enumerate(big)], "k int, x bigint").selectExpr("k", f"cast(x as {kind}) x")
+    rows = differing(make(0), make(1), ["k"], ["x"])
+    assert {tuple(r) for r in field_differences(rows, ["k"], ["x"]).collect()} == {(i, "x") for i in (1, 3, 5)}
+
+
+def test_copies_of_other_types(spark):
+    a = spark.sql("select 1 k, 5 x, 1.50 y, 2.0D z union all select 2, 6, 2.00, 3.0D")
+    b = spark.sql("select 1L k, 5L x, 1.5000 y, 2 z union all select 2L, 7L, 2.0001, 4")
+    rows = differing(a, b, ["k"], ["x", "y", "z"])
+    assert {(r.k, r.finding) for r in field_differences(rows, ["k"], ["x", "y", "z"]).collect()} == {(2, "x"), (2, "y"), (2, "z")}
+
+
+def test_large_doubles_further_apart_than_the_tolerance(spark):
+    r = random.Random(4)
+    xs = [10 ** r.uniform(6, 17) for _ in range(400)]
+    a = [(f"{i}", i, x, "x", 1) for i, x in enumerate(xs)]
+    b = [(f"{i}", i, float(np.nextafter(x, np.inf)), "x", 1) for i, x in enumerate(xs)]
+    assert found(spark, a, b) == brute(a, b)

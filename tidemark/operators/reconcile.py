@@ -8,13 +8,16 @@ interpolating polynomial, O(d**2)), and three more points verify it. Buckets tha
 with twice the bound, others don't; as soon as the bound reaches a bucket's number of rows it can't fail. Each copy then
 finds its differing rows as the zeros among its own elements, and only those rows are fetched and compared field by field.
 
-What crosses the network between the copies is a dozen numbers per bucket of about ``per_bucket`` rows; rows themselves are
-never exchanged unless they differ. No bucket can be large: keys are unique by then (``latest``), and copies of one
-key collapse before they are shuffled.
-
-Defined results: nulls are values like others, equal to each other; numbers are equal if they lie at most ``tolerance``
-apart (hashes are taken of the multiples of it, so that rows further apart always hash differently); NaN equals NaN; a
-null in a key column matches a null; an empty copy leaves every row of the other one missing.
+Shuffled are (bucket, side, element) alone, twenty bytes a row, and after that sketches and polynomials, a dozen numbers per
+bucket of about ``per_bucket`` rows; fields are read only when the rows that differ are fetched. (Those are joined with
+their copies by element: by broadcast as long as they are few enough, else the planner shuffles.) No bucket can be large: keys
+are unique by then (``latest``), and copies of one key collapse before they are shuffled.
+
+Defined results: nulls are values like others, equal to each other; integers and decimals are compared as they are;
+floating-point numbers are equal if they lie at most ``tolerance`` apart (hashes are taken of the multiples of half of it, or,
+where doubles are hardly denser than that, of the doubles, so that rows further apart always hash differently); NaN equals NaN; a
+null in a key column matches a null; an empty copy leaves every row of the other one missing. Both copies are read several
+times, so what is costly to work out should be written first.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.session import staged, width
+from tidemark.session import staged
 
 P = (1 << 61) - 1
 M31, M30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
@@ -210,12 +213,29 @@ def latest(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     return best.select(*map(c, keys), *(F.col("__best").getField(x).alias(x) for x in [*version, *rest]))
 
 
-def _text(df: DataFrame, name: str, tolerance: float) -> Column:
-    kind = dict(df.dtypes)[name]
-    x = c(name)
-    if kind.split("(")[0] in ("float", "double", "decimal", "tinyint", "smallint", "int", "bigint"):
-        x = F.round(x.cast("double") / tolerance)
-    elif kind.startswith(("struct", "array", "map")):
+FLOATS, WHOLES = ("float", "double"), ("tinyint", "smallint", "int", "bigint")
+
+
+def _kinds(a: DataFrame, b: DataFrame, names: list[str]) -> dict[str, str]:
+    """What the columns of both copies are compared as: double if either is floating-point, an exact decimal if either is one, else text."""
+    p, q, out = dict(a.dtypes), dict(b.dtypes), {}
+    for x in names:
+        both = {p[x].split("(")[0], q[x].split("(")[0]}
+        number = both <= {*FLOATS, *WHOLES, "decimal"}
+        scale = max((int(k[x].split(",")[1].rstrip(")")) for k in (p, q) if k[x].startswith("decimal")), default=0)
+        out[x] = "double" if number and both & {*FLOATS} else f"decimal(38,{scale})" if number and "decimal" in both else "bigint" if number else "text"
+    return out
+
+
+def _text(x: Column, nested: bool, kind: str, tolerance: float) -> Column:
+    if kind == "double":
+        x = x.cast("double")
+        # halves of the tolerance, so that rounding can't bring numbers further apart together; the number itself
+        # from where doubles are about an eighth of the tolerance apart; -0.0 is 0.0
+        x = F.when(F.abs(x) * 2**-50 >= tolerance / 2, x).otherwise(F.round(x / (tolerance / 2))) + F.lit(0.0)
+    elif kind != "text":
+        x = x.cast(kind)
+    elif nested:
         x = F.to_json(x)
     return F.coalesce(F.concat(F.lit("v"), x.cast("string")), F.lit("n"))
 
@@ -230,25 +250,28 @@ def side_name(keys: list[str], fields: list[str]) -> str:
 
 def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], tolerance: float = 1e-4, per_bucket: int = 64, bound: int = 8) -> DataFrame:
     """Rows that one copy has and the other hasn't: ``side_name`` (0 for a, 1 for b), keys and fields. Rows of a copy must be distinct."""
-    spark = a.sparkSession
     mark = side_name(keys, fields)
-    buckets = max(1, math.ceil(max(a.count(), b.count()) / per_bucket))
+    kinds = _kinds(a, b, [*keys, *fields])
 
-    def elements(df: DataFrame, side: int) -> DataFrame:
-        key = [_text(df, x, 1.0) if dict(df.dtypes)[x] in ("float", "double") else F.coalesce(F.concat(F.lit("v"), c(x).cast("string")), F.lit("n")) for x in keys]
-        whole = [*key, *(_text(df, x, tolerance) for x in fields)]
+    def elements(df: DataFrame, side: int, buckets: int, *also: Column) -> DataFrame:
+        nested = {x for x, k in df.dtypes if k.startswith(("struct", "array", "map"))}
+        key = [_text(c(x), x in nested, kinds[x], 1.0) for x in keys]
+        whole = [*key, *(_text(c(x), x in nested, kinds[x], tolerance) for x in fields)]
         return df.select(
             F.pmod(F.xxhash64(F.lit("bucket"), *key), F.lit(buckets).cast("bigint")).alias("__bucket"), F.lit(side).alias("__side"),
-            F.shiftrightunsigned(F.xxhash64(F.lit("element"), *whole), 4).alias("__element"), *map(c, keys), *map(c, fields),
+            F.shiftrightunsigned(F.xxhash64(F.lit("element"), *whole), 4).alias("__element"), *also,
         )
 
-    rows = elements(a, 0).unionByName(elements(b, 1))
-    rows = staged(rows.repartition(width(spark), "__bucket").sortWithinPartitions("__bucket"), "elements")
-    todo, found = rows.select(F.col("__bucket").alias("bucket"), F.col("__side").alias("side"), F.col("__element").alias("element")), []
+    plain = {"__bucket": "bucket", "__side": "side", "__element": "element"}
+    back = {y: x for x, y in plain.items()}
+    buckets = max(1, math.ceil(max(a.count(), b.count()) / per_bucket))
+    here = elements(a, 0, buckets).unionAll(elements(b, 1, buckets)).withColumnsRenamed(plain)
+    here = staged(here.repartition("bucket").sortWithinPartitions("bucket"), "elements")
+    todo, found = here, []
     while True:
         n = bound + 1 + CHECKS
         sketch = todo.mapInArrow(_sketch(n), "bucket bigint, side int, n bigint, v array<bigint>")
-        decoded = sketch.repartition(width(spark), "bucket").sortWithinPartitions("bucket").mapInArrow(_decode(n), "bucket bigint, ok boolean, p array<bigint>, q array<bigint>")
+        decoded = sketch.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_decode(n), "bucket bigint, ok boolean, p array<bigint>, q array<bigint>")
         decoded = staged(decoded, "decoded")
         found.append(decoded.filter("ok"))
         left = decoded.filter("not ok").select("bucket")
@@ -258,10 +281,10 @@ def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], to
     polys = found[0]
     for x in found[1:]:
         polys = polys.unionAll(x)
-    near = rows.select(F.col("__bucket").alias("bucket"), F.col("__side").alias("side"), F.col("__element").alias("element")).join(polys.drop("ok"), "bucket")
-    zeros = near.select("bucket", "side", "element", "p", "q").mapInArrow(_zeros, "bucket bigint, side int, element bigint")
-    zeros = staged(zeros.withColumnsRenamed({"bucket": "__bucket", "side": "__side", "element": "__element"}), "zeros")
-    return rows.join(zeros, ["__bucket", "__side", "__element"], "left_semi").drop("__bucket", "__element").withColumnRenamed("__side", mark)
+    near = here.join(polys.drop("ok"), "bucket").select("bucket", "side", "element", "p", "q")
+    zeros = staged(near.mapInArrow(_zeros, "bucket bigint, side int, element bigint"), "zeros").withColumnsRenamed(back)
+    rows = [elements(df, i, buckets, *map(c, keys), *map(c, fields)).join(zeros.filter(c("__side") == i).drop("__side"), ["__bucket", "__element"], "left_semi") for i, df in enumerate((a, b))]
+    return rows[0].unionByName(rows[1]).drop("__bucket", "__element").withColumnRenamed("__side", mark)
 
 
 def field_differences(
@@ -278,8 +301,7 @@ def field_differences(
     for j, x in enumerate(fields):
         p, q = F.col(f"s0.f{j}"), F.col(f"s1.f{j}")
         far = ~p.eqNullSafe(q)
-        if kinds[x].split("(")[0] in ("float", "double", "decimal", "tinyint", "smallint", "int", "bigint"):
-            gap = F.abs(p.cast("double") - q.cast("double"))
-            far = far & F.coalesce(gap > tolerance, F.lit(True))
+        if kinds[x] in FLOATS:
+            far = far & F.coalesce(F.abs(p.cast("double") - q.cast("double")) > tolerance, F.lit(True))
         tests.append(F.when(there & far, F.lit(x)))
     return both.select(*map(c, keys), F.explode(F.array_compact(F.array(*tests))).alias("finding"))

@@ -30,9 +30,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "gold_minute_bars").filter("composite_figi is not null")
         .select(F.upper(F.trim("symbol")).alias("symbol"), F.col("event_date").alias("price_date"), "composite_figi").distinct()
     )
-    bars = staged(bars, "bars")
-    others = differing(rollup.select(*KEYS, "composite_figi"), bars, KEYS, ["composite_figi"]).filter("side = 1").select(*KEYS).distinct()
-    figi = others.join(rollup.select(*KEYS), KEYS, "left_semi").withColumn("finding", F.lit("bar_figi"))
+    # bars cover few of the roll-up's days: only keys on both sides are compared, so that the copies are alike but for what is wrong
+    bars = staged(bars.join(rollup.select(*KEYS), KEYS, "left_semi"), "bars")
+    covered = staged(rollup.select(*KEYS, "composite_figi").join(bars.select(*KEYS).distinct(), KEYS, "left_semi"), "covered")
+    figi = differing(covered, bars, KEYS, ["composite_figi"]).filter("side = 1").select(*KEYS).distinct().withColumn("finding", F.lit("bar_figi"))
     return prices.unionByName(figi).select("symbol", F.col("price_date").cast("string").alias("price_date"), "finding")
 
 
