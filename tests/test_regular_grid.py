@@ -3,14 +3,15 @@ from datetime import date, datetime
 
 import numpy as np
 
-from tidemark.operators.regular_grid import regular_grid, ssa_converged, ssa_fill
+from tidemark.operators.regular_grid import CHOICES, held_out, regular_grid, ssa_chosen, ssa_converged, ssa_fill
 
 
 def plain_ssa(y, window, rank, tol, most):
     """One series at a time, with numpy's own singular values."""
     y = np.array(y, float)
     gap = np.isnan(y)
-    n = len(y)
+    n, mean = len(y), np.nanmean(y)
+    y = y - mean
     x = y.copy()
     x[gap] = np.interp(np.flatnonzero(gap), np.flatnonzero(~gap), y[~gap])
     lags = min(window, n // 2)
@@ -19,11 +20,11 @@ def plain_ssa(y, window, rank, tol, most):
         u, s, v = np.linalg.svd(h, full_matrices=False)
         low = (u[:, :rank] * s[:rank]) @ v[:rank]
         back = np.array([np.mean([low[i, t - i] for i in range(lags) if 0 <= t - i < n - lags + 1]) for t in range(n)])
-        moved = np.abs(back - x)[gap].max() / abs(np.nanmean(y))
+        moved = np.abs(back - x)[gap].max() / abs(mean)
         x[gap] = back[gap]
         if moved <= tol:
             break
-    return x
+    return x + mean
 
 
 def test_same_as_plain_singular_values():
@@ -62,6 +63,33 @@ def test_slow_series_are_iterated_to_the_end():
         assert at_60[i] == np.allclose(early[i], plain, rtol=1e-9)
 
 
+def test_windows_are_chosen_by_values_held_out():
+    rng = np.random.default_rng(7)
+    t = np.arange(390)
+    wave = 100 + 5 * np.sin(2 * np.pi * t / 30 + rng.uniform(0, 6, (8, 1)))
+    walk = 100 + np.cumsum(rng.normal(0, 0.1, (8, 390)), axis=1)
+    true = np.concatenate([wave, walk])
+    y = np.where(rng.random(true.shape) < 0.15, np.nan, true)
+    y[:, 200:206] = np.nan
+    got, rests, lags = ssa_chosen(y)
+    flat = np.array([np.interp(t, t[~np.isnan(r)], r[~np.isnan(r)]) for r in y])
+    gap = np.isnan(y)
+    err = lambda x, rows: np.abs(x - true)[rows][gap[rows]].mean()
+    assert rests.all() and (got[~gap] == true[~gap]).all()
+    assert err(got, slice(0, 8)) < 0.2 * err(flat, slice(0, 8)) and err(got, slice(8, 16)) < 1.05 * err(flat, slice(8, 16))
+    assert set(lags[:8].tolist()) <= {6, 12, 24, 60} and np.median(lags[8:]) <= 4
+
+
+def test_values_held_out():
+    y = np.full((3, 100), np.nan)
+    y[0], y[1, 50] = 1.0, 1.0
+    m = held_out(y)
+    assert 3 <= m[0].sum() <= 20 and not m[0, 0] and not m[0, -1] and not m[1:].any()
+    out, rests, _ = ssa_chosen(y)
+    assert (out[1] == 1).all() and np.isnan(out[2]).all() and rests.all()
+    assert ssa_chosen(np.full((0, 5), np.nan))[0].shape == (0, 5) and len(CHOICES) > 1
+
+
 def test_series_stopped_early_are_reported(spark):
     day = (date(2020, 1, 2), ts(14, 30), ts(14, 50))
     bars = [("A", ts(14, 30 + i), 10.0 + i % 7, 1, "") for i in range(20) if i not in (5, 6, 12)] + [("B", ts(14, 30 + i), 10.0, 1, "") for i in range(20)]

@@ -4,13 +4,17 @@ Readings are put into the periods of their session, one value per period, and a
 its length is bounded by the session, not by the data, so a hot source has many series, not a long one. The series are
 spread over hash buckets and filled in Arrow batches, series of one length together:
 
-1. gaps get straight lines between their neighbours as a first guess;
+1. gaps get straight lines between their neighbours as a first guess, and the series is centred;
 2. the Hankel trajectory matrix of each series (``window`` lags) is truncated to its ``rank`` greatest singular vectors;
 3. averaging over the anti-diagonals gives a smooth series, which replaces the missing entries, and only those;
 4. steps 2 and 3 are repeated until no missing entry moves by more than ``tol`` of the series' scale. Each series is iterated
    until its own movement is that small, however many rounds it takes; ``most`` is a far safety stop, and a series that
    reaches it is reported as not ``converged``.
 
+Window and rank are chosen for each series from ``CHOICES`` by masked validation: a tenth of its values is held out and
+filled with each choice, and the smallest window within 5 % of the least error is taken. Prices that wander get two lags,
+of which one vector is kept, which comes to straight lines; series with a rhythm get windows that hold it.
+
 Filled periods are marked. Defined results: a reading is usable if it isn't null, isn't NaN and is above ``floor``; of
 several usable readings in a period the last one counts (ties: ``tie``, then the greater value); readings outside every
 session belong to no grid; a source and session with no usable reading at all keeps its periods, marked, with a null
@@ -29,11 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c, from_micros, micros
-from tidemark.session import width
-
 
 #: Rounds of a series at most: far beyond what series need (under 200 at sf0.1), so that a series that doesn't settle can't hold a task for good.
 MOST = 10_000
+#: Windows and ranks tried on each series, from the smallest window on; the share of values held out for it, and the error another window must save.
+CHOICES = ((2, 1), (3, 1), (4, 2), (6, 3), (12, 4), (24, 3), (24, 6), (60, 4))
+HELD_OUT, WORTH = 0.1, 0.05
 
 
 def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST) -> np.ndarray:
@@ -48,6 +53,10 @@ def ssa_converged(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1
     m, n = y.shape
     missing = np.isnan(y)
     some = ~missing.all(axis=1)
+    mean = np.zeros((m, 1))
+    mean[some, 0] = np.nanmean(y[some], axis=1)
+    scale = np.maximum(np.abs(mean[:, 0]), 1e-12)
+    y = y - mean
     x = y.copy()
     at = np.arange(n)
     for i in np.flatnonzero(some & missing.any(axis=1)):
@@ -55,11 +64,12 @@ def ssa_converged(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1
     rests = np.ones(m, bool)
     lags = min(window, n // 2)
     todo = np.flatnonzero(some & missing.any(axis=1) & ((~missing).sum(axis=1) > 1))
+    whole = lambda: np.where(missing & ~np.isinf(given), x + mean, given)
     if lags < 2 or not len(todo):
-        return np.where(np.isinf(given), given, x), rests
+        return whole(), rests
     rests[todo] = False
     rank, cols = min(rank, lags - 1), n - lags + 1
-    scale = np.maximum(np.abs(np.nanmean(y[todo], axis=1)), 1e-12)
+    scale = scale[todo]
     weight = np.minimum(np.minimum(at + 1, n - at), min(lags, cols)).astype(float)
     for _ in range(most):
         cur = x[todo]
@@ -81,13 +91,44 @@ def ssa_converged(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1
         todo, scale = todo[stay], scale[stay]
         if not len(todo):
             break
-    return np.where(np.isinf(given), given, x), rests
-
-
-def _fill(window: int, rank: int, tol: float, most: int):
+    return whole(), rests
+
+
+def held_out(y: np.ndarray, share: float = HELD_OUT) -> np.ndarray:
+    """A fixed choice of about that share of each series' finite values, never its first or last."""
+    known = np.isfinite(y)
+    draw = (np.arange(y.shape[1], dtype=np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32)) / (1 << 32) < share
+    ends = np.zeros_like(known)
+    has = known.any(axis=1)
+    rows = np.arange(len(y))
+    ends[rows[has], known[has].argmax(axis=1)] = True
+    ends[rows[has], y.shape[1] - 1 - known[has][:, ::-1].argmax(axis=1)] = True
+    return known & draw & ~ends
+
+
+def ssa_chosen(y: np.ndarray, choices: tuple[tuple[int, int], ...] = CHOICES, tol: float = 1e-5, most: int = MOST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """y filled with the window and rank that masked validation chooses for each series; whether it came to rest; the window."""
+    y = np.array(y, float)
+    gaps = np.flatnonzero(np.isnan(y).any(axis=1))
+    pick = np.zeros(len(y), int)
+    if len(choices) > 1 and len(gaps):
+        part = y[gaps]
+        mask = held_out(part)
+        shown, n = np.where(mask, np.nan, part), np.maximum(mask.sum(axis=1), 1)
+        errors = np.array([np.abs(np.where(mask, ssa_converged(shown, w, r, tol, most)[0] - np.where(mask, part, 0), 0)).sum(axis=1) / n for w, r in choices])
+        errors = np.where(np.isnan(errors), np.inf, errors)
+        pick[gaps] = (errors <= errors.min(axis=0) * (1 + WORTH)).argmax(axis=0)
+    out, rests = y.copy(), np.ones(len(y), bool)
+    for k in np.unique(pick[gaps]):
+        own = gaps[pick[gaps] == k]
+        out[own], rests[own] = ssa_converged(y[own], *choices[k], tol, most)
+    return out, rests, np.array([w for w, _ in choices])[pick]
+
+
+def _fill(choices: tuple[tuple[int, int], ...], tol: float, most: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            values, filled, converged = [None] * len(b), [None] * len(b), np.ones(len(b), bool)
+            values, filled, converged, windows = [None] * len(b), [None] * len(b), np.ones(len(b), bool), np.zeros(len(b), np.int32)
             sizes = b["n"].to_numpy()
             for n in np.unique(sizes):
                 rows = np.flatnonzero(sizes == n)
@@ -97,20 +138,20 @@ def _fill(window: int, rank: int, tol: float, most: int):
                         at = b["at"].iat[r]
                         if at is not None and len(at):
                             y[j, at] = b["v"].iat[r]
-                    done, converged[some] = ssa_converged(y, window, rank, tol, most)
+                    done, converged[some], windows[some] = ssa_chosen(y, choices, tol, most)
                     for j, r in enumerate(some):
                         values[r] = [None if np.isnan(z) else float(z) for z in done[j]]
                         filled[r] = np.isnan(y[j])
-            yield b[["source", "session", "open"]].assign(values=values, filled=filled, converged=converged)
+            yield b[["source", "session", "open"]].assign(values=values, filled=filled, converged=converged, lags=windows)
 
     return run
 
 
 def regular_grid(
     readings: DataFrame, sessions: DataFrame, source: str, time: str, value: str, session: str, opens: str, closes: str,
-    period_s: int = 60, floor: float = 0.0, tie: Column | None = None, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST,
+    period_s: int = 60, floor: float = 0.0, tie: Column | None = None, choices: tuple[tuple[int, int], ...] = CHOICES, tol: float = 1e-5, most: int = MOST,
 ) -> DataFrame:
-    """One row per source, session with at least one reading, and period: source, session, period_start, value, filled, converged (of the series)."""
+    """One row per source, session with at least one reading, and period: source, session, period_start, value, filled; of the series, converged and lags (its window)."""
     step = period_s * 1_000_000
     day = 86_400_000_000
     s = sessions.select(c(session).alias("session"), micros(c(opens)).alias("open"), micros(c(closes)).alias("close"))
@@ -133,13 +174,13 @@ def regular_grid(
             "source", F.col("session").cast("string").alias("session"), "open", F.ceil((F.col("close") - F.col("open")) / step).cast("int").alias("n"),
             F.col("have.at").alias("at"), F.col("have.v").alias("v"),
         )
-        .repartition(width(readings.sparkSession), "source", "session")
+        .repartition("source", "session")
     )
     kind = readings.schema[source].dataType.simpleString()
     filled = series.mapInPandas(
-        _fill(window, rank, tol, most), f"source {kind}, session string, open bigint, values array<double>, filled array<boolean>, converged boolean"
+        _fill(choices, tol, most), f"source {kind}, session string, open bigint, values array<double>, filled array<boolean>, converged boolean, lags int"
     )
-    cells = filled.select("source", "session", "open", "converged", F.posexplode(F.arrays_zip("values", "filled")).alias("i", "cell"))
+    cells = filled.select("source", "session", "open", "converged", "lags", F.posexplode(F.arrays_zip("values", "filled")).alias("i", "cell"))
     return cells.select(
-        "source", "session", from_micros(F.col("open") + F.col("i").cast("bigint") * F.lit(step)).alias("period_start"), F.col("cell.values").alias("value"), F.col("cell.filled").alias("filled"), "converged"
+        "source", "session", from_micros(F.col("open") + F.col("i").cast("bigint") * F.lit(step)).alias("period_start"), F.col("cell.values").alias("value"), F.col("cell.filled").alias("filled"), "converged", "lags"
     )
