@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import from_micros, stamp
+from tidemark.functions.columns import from_micros, micros, stamp
 from tidemark.operators.kslack import kslack
+from tidemark.session import scratch
 from tidemark.sources.tables import table
+from tidemark.streaming.kslack import kslack_stream
 
 #: Seconds after a minute's end at which its provisional values are published, and until which late quotes are taken.
 GRACE_S, SLACK_S = 120, 3600
@@ -46,7 +50,49 @@ def p3_quote_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_quote_minutes)}
+#: Deliveries in which p3_stream feeds the quotes to its stream.
+DELIVERIES = 6
+
+
+def p3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mid prices per symbol and minute out of the live buffer, which is fed the quotes in order of arrival and stopped after every delivery.
+
+    A delivery is worked through and committed before the next is written, so all of the buffers' state passes through the checkpoint.
+    """
+    at = scratch(spark, "p3-stream")
+    q = table(spark, sf_dir, "silver_quotes").select("symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", "bid_price", "ask_price")
+    arrived = micros(F.col("bronze_ingest_timestamp"))
+    lo, hi, last = q.agg(F.min(arrived), F.max(arrived), F.max("bronze_ingest_timestamp")).first()
+    place = F.least(F.floor((arrived - lo) * DELIVERIES / F.lit((hi or 0) - (lo or 0) + 1)), F.lit(DELIVERIES - 1)) if hi is not None else F.lit(0)
+    q.withColumn("delivery", F.coalesce(place, F.lit(0)).cast("int")).write.partitionBy("delivery").parquet(f"{at}/all")
+    whole = spark.read.parquet(f"{at}/all")
+    bid, ask = F.col("bid_price"), F.col("ask_price")
+
+    def run(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{at}/in")
+        stream = spark.readStream.schema(q.schema).parquet(f"{at}/in")
+        out = kslack_stream(stream, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", (ask + bid) / 2, (ask > bid) & (bid > 0), SLACK_S, GRACE_S)
+        put = lambda df, i: df.write.mode("overwrite").parquet(f"{at}/out/batch={i}")
+        out.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+
+    for i in range(DELIVERIES):
+        run(whole.filter(F.col("delivery") == i).drop("delivery"))
+    far = last + timedelta(days=2) if last else None
+    for i in range(2 if far else 0):  # beats of the clock, after which every buffer is released
+        run(spark.createDataFrame([(None, far, far + timedelta(hours=i), 0, None, None)], q.schema))
+    out = spark.read.option("basePath", f"{at}/out").schema("key string, period bigint, stage string, n bigint, n_amended bigint, n_missed bigint, open double, close double, mean double").parquet(f"{at}/out")
+    now = F.col("stage") == "final"
+    got = out.groupBy("key", "period").agg(
+        F.max(F.when(F.col("stage") == "provisional", F.col("n"))).alias("prov_n"), F.max(F.when(now, F.struct("n", "n_amended", "open", "close", "mean"))).alias("f"), F.sum("n_missed").alias("n_missed"),
+    ).filter("f is not null")
+    rounded = lambda x: F.round(x + NUDGE, 4)
+    return got.select(
+        F.col("key").alias("symbol"), stamp(from_micros(F.col("period"))).alias("window_start"), F.col("f.n_amended").alias("n_amended"), "n_missed", F.coalesce("prov_n", F.lit(0)).alias("prov_n"),
+        F.col("f.n").alias("final_n"), rounded(F.col("f.open")).alias("final_open_mid"), rounded(F.col("f.close")).alias("final_close_mid"), rounded(F.col("f.mean")).alias("final_avg_mid"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_quote_minutes, p3_stream)}
 
 _FIRST = """
     SELECT symbol, sip_timestamp, sequence_number, bid_price AS bid, ask_price AS ask, bid_size, ask_size, bronze_ingest_timestamp AS arrived,
@@ -89,3 +135,5 @@ SQL = {
         FROM base LEFT JOIN prov ON base.symbol IS NOT DISTINCT FROM prov.symbol AND base.w = prov.w
           LEFT JOIN final ON base.symbol IS NOT DISTINCT FROM final.symbol AND base.w = final.w""",
 }
+SQL["p3_stream"] = f"""
+    SELECT symbol, window_start, n_amended, CAST(0 AS BIGINT) AS n_missed, prov_n, final_n, final_open_mid, final_close_mid, final_avg_mid FROM ({SQL["p3_quote_minutes"]}) WHERE final_n > 0"""
