@@ -12,7 +12,7 @@ spread over hash buckets and filled in Arrow batches, series of one length toget
    reaches it is reported as not ``converged``.
 
 Window and rank are chosen for each series from ``CHOICES`` by masked validation: a tenth of its values is held out and
-filled with each choice, and the smallest window within 5 % of the least error is taken. Prices that wander get two lags,
+filled with each choice, and the smallest window within 15 % of the least error is taken. Prices that wander get two lags,
 of which one vector is kept, which comes to straight lines; series with a rhythm get windows that hold it.
 
 Filled periods are marked. Defined results: a reading is usable if it isn't null, isn't NaN and is above ``floor``; of
@@ -33,12 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c, from_micros, micros
+from tidemark.session import width
 
 #: Rounds of a series at most: far beyond what series need (under 200 at sf0.1), so that a series that doesn't settle can't hold a task for good.
 MOST = 10_000
 #: Windows and ranks tried on each series, from the smallest window on; the share of values held out for it, and the error another window must save.
-CHOICES = ((2, 1), (3, 1), (4, 2), (6, 3), (12, 4), (24, 3), (24, 6), (60, 4))
-HELD_OUT, WORTH = 0.1, 0.05
+CHOICES = ((2, 1), (6, 2), (24, 4))
+HELD_OUT, WORTH = 0.1, 0.15
 
 
 def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST) -> np.ndarray:
@@ -174,7 +175,7 @@ def regular_grid(
             "source", F.col("session").cast("string").alias("session"), "open", F.ceil((F.col("close") - F.col("open")) / step).cast("int").alias("n"),
             F.col("have.at").alias("at"), F.col("have.v").alias("v"),
         )
-        .repartition("source", "session")
+        .repartition(width(readings.sparkSession), "source", "session")  # filling a series costs far more than moving it
     )
     kind = readings.schema[source].dataType.simpleString()
     filled = series.mapInPandas(
