@@ -8,36 +8,33 @@ from tidemark.operators import bars as B
 from tidemark.operators.latest import keep_latest, top_per_key
 
 SCHEMA = "composite_figi string, symbol string, event_date date, window_start timestamp_ntz, open_price double, high_price double, low_price double, close_price double, volume bigint, vwap double, trade_count int"
-DAY = date(2026, 5, 26)
+DAY = date(2024, 3, 14)
 
 
-def golden(spark):
-    rows = [
-        ("F1", "AAPL", 30, 310.0, 311.0, 309.5, 310.5, 10000, 310.3, 100), ("F1", "AAPL", 31, 310.5, 312.0, 310.0, 311.0, 15000, 311.0, 150),
-        ("F1", "AAPL", 32, 311.0, 311.5, 310.8, 311.2, 5000, 311.1, 50), ("F2", "MSFT", 30, 416.0, 417.0, 415.5, 416.5, 20000, 416.4, 200),
-        ("F2", "MSFT", 31, 416.5, 416.8, 416.0, 416.2, 8000, 416.5, 80),
-    ]
-    return spark.createDataFrame([(f, s, DAY, datetime(2026, 5, 26, 13, m), *x) for f, s, m, *x in rows], SCHEMA)
+def made(spark):
+    """Three bars of one symbol, out of order, and one of another."""
+    rows = [("FX", "XYZ", 47, 20.5, 23.0, 20.0, 22.0, 300, 21.5, 7), ("FX", "XYZ", 45, 18.0, 19.0, 17.25, 18.5, 100, 18.0, 4), ("FX", "XYZ", 46, 18.5, 21.0, 18.25, 20.5, 600, 19.5, 9), ("FQ", "QQ", 45, 7.0, 7.0, 7.0, 7.0, 1, 7.0, 1)]
+    return spark.createDataFrame([(f, s, DAY, datetime(2024, 3, 14, 15, m), *x) for f, s, m, *x in rows], SCHEMA)
 
 
 def test_daily_bars(spark):
-    out = {r.symbol: r for r in B.daily_bars(golden(spark)).collect()}
-    a = out["AAPL"]
-    assert len(out) == 2 and (a.open_price, a.close_price, a.high_price, a.low_price, a.volume, a.total_trades, a.bar_count) == (310.0, 311.2, 312.0, 309.5, 30000, 300, 3)
-    assert a.vwap == pytest.approx((310.3 * 10000 + 311.0 * 15000 + 311.1 * 5000) / 30000)
-    assert (a.first_bar_start, a.last_bar_start) == (datetime(2026, 5, 26, 13, 30), datetime(2026, 5, 26, 13, 32))
+    out = {r.symbol: r for r in B.daily_bars(made(spark)).collect()}
+    x = out["XYZ"]
+    assert set(out) == {"XYZ", "QQ"} and (x.open_price, x.high_price, x.low_price, x.close_price) == (18.0, 23.0, 17.25, 22.0)
+    assert (x.volume, x.total_trades, x.bar_count) == (1000, 20, 3) and x.vwap == pytest.approx(19.95)  # 6450 + 1800 + 11700 over 1000
+    assert (x.first_bar_start.minute, x.last_bar_start.minute) == (45, 47)
 
 
 def test_no_volume_has_no_vwap(spark):
-    df = golden(spark).selectExpr("* except (volume)", "cast(0 as bigint) volume")
+    df = made(spark).selectExpr("* except (volume)", "cast(0 as bigint) volume")
     assert {r.vwap for r in B.daily_bars(df).collect()} == {None}
     assert B.daily_bars(df.limit(0)).count() == 0
 
 
 def test_session_close_follows_summer_time(spark):
-    rows = [("F", "A", DAY, datetime(2026, 5, 26, h, m), 1.0, 1.0, 1.0, c, 1, 1.0, 1) for h, m, c in ((13, 29, 1.0), (13, 30, 2.0), (20, 0, 3.0), (20, 1, 4.0))]
+    rows = [("F", "A", date(2026, 5, 26), datetime(2026, 5, 26, h, m), 1.0, 1.0, 1.0, c, 1, 1.0, 1) for h, m, c in ((13, 29, 1.0), (13, 30, 2.0), (20, 0, 3.0), (20, 1, 4.0))]
     rows += [("F", "A", date(2026, 1, 5), datetime(2026, 1, 5, h, m), 1.0, 1.0, 1.0, c, 1, 1.0, 1) for h, m, c in ((20, 30, 5.0), (21, 0, 6.0), (21, 1, 7.0))]
-    assert {r.event_date: r.session_close for r in B.session_close(spark.createDataFrame(rows, SCHEMA)).collect()} == {DAY: 3.0, date(2026, 1, 5): 6.0}
+    assert {r.event_date: r.session_close for r in B.session_close(spark.createDataFrame(rows, SCHEMA)).collect()} == {date(2026, 5, 26): 3.0, date(2026, 1, 5): 6.0}
 
 
 def test_minute_returns_stay_within_a_date(spark):

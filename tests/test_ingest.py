@@ -5,7 +5,7 @@ import pytest
 from tidemark.operators import ingest as I
 
 SCHEMA = "kafka_topic string, kafka_partition int, kafka_offset bigint, raw_payload string"
-BAR = '{"ev":"AM","sym":"%s","o":150.0,"h":151.0,"l":149.0,"c":150.5,"v":1000000,"vw":150.3,"n":500,"s":1716480000000,"e":1716480060000}'
+BAR = '{"ev":"AM","sym":"%s","o":42.25,"h":43.5,"l":41.75,"c":43.0,"v":8642,"vw":42.6,"n":31,"s":1609770720000,"e":1609770780000}'
 
 
 def bronze(spark, *payloads, topic="market.aggregates"):
@@ -13,13 +13,14 @@ def bronze(spark, *payloads, topic="market.aggregates"):
 
 
 def test_bar(spark):
-    r = I.parse_bars(bronze(spark, BAR % "AAPL")).collect()[0]
-    assert (r.symbol, r.open_price, r.volume, r.trade_count, r.event_date) == ("AAPL", 150.0, 1000000, 500, date(2024, 5, 23))
-    assert (r.window_start, r.window_end) == (datetime(2024, 5, 23, 16, 0), datetime(2024, 5, 23, 16, 1))
+    r = I.parse_bars(bronze(spark, BAR % "KX")).collect()[0]
+    assert (r.symbol, r.open_price, r.high_price, r.low_price, r.close_price, r.vwap) == ("KX", 42.25, 43.5, 41.75, 43.0, 42.6)
+    assert (r.volume, r.trade_count, r.event_date) == (8642, 31, date(2021, 1, 4))
+    assert (r.window_start, r.window_end) == (datetime(2021, 1, 4, 14, 32), datetime(2021, 1, 4, 14, 33))
 
 
 def test_unreadable_bars_give_no_rows(spark):
-    bad = ["not even json", "", None, BAR % "", '{"ev":"AM","o":1.0}', '{"ev":"AM","sym":"A"}', (BAR % "A")[:60], '{"ev":"A","sym":"A","s":1716480000000}']
+    bad = ["not even json", "", None, BAR % "", '{"ev":"AM","o":1.0}', '{"ev":"AM","sym":"A"}', (BAR % "A")[:60], '{"ev":"A","sym":"A","s":1609770720000}']
     assert I.parse_bars(bronze(spark, *bad)).count() == 0
     assert I.parse_bars(bronze(spark, BAR % "A", topic="market.trades")).count() == 0
 
@@ -42,10 +43,10 @@ def test_quotes_need_both_prices(spark):
 
 
 def test_unknown_symbols_keep_their_rows(spark):
-    master = spark.createDataFrame([("AAPL", "F1"), ("MSFT", "F2")], "symbol string, composite_figi string")
-    df = I.with_figi(I.parse_bars(bronze(spark, BAR % "AAPL", BAR % "UNKNOWN", BAR % "MSFT")), master)
-    assert {r.symbol: r.composite_figi for r in df.collect()} == {"AAPL": "F1", "UNKNOWN": None, "MSFT": "F2"}
-    assert [r.symbol for r in I.missing_symbols(df, master).collect()] == ["UNKNOWN"]
+    master = spark.createDataFrame([("KX", "F1"), ("ZZ", "F2")], "symbol string, composite_figi string")
+    df = I.with_figi(I.parse_bars(bronze(spark, BAR % "KX", BAR % "NEW", BAR % "ZZ")), master)
+    assert {r.symbol: r.composite_figi for r in df.collect()} == {"KX": "F1", "NEW": None, "ZZ": "F2"}
+    assert [r.symbol for r in I.missing_symbols(df, master).collect()] == ["NEW"]
 
 
 def test_routes(spark):

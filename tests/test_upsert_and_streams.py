@@ -1,12 +1,13 @@
 import json
 import random
+import shutil
 from datetime import datetime
 
 import pytest
 
 from tidemark.operators.upsert import KeyedTable
 from tidemark.sources.envelopes import read_envelopes, read_symbols, subscriptions, write_envelopes
-from tidemark.streaming.medallion import BAR_KEYS, bars_stream, daily_stream, log_stream
+from tidemark.streaming.medallion import BAR_KEYS, QUOTE_KEYS, TRADE_KEYS, bars_stream, daily_stream, log_stream, quote_stats_stream, quotes_stream, served_stream, trades_stream
 from tidemark.streaming.metrics import track
 from tidemark.streaming.triggers import triggered
 
@@ -35,6 +36,91 @@ def test_older_rows_in_later_batches(spark, tmp_path, ordered, want):
     assert [r.v for r in t.read().collect()] == [want]
 
 
+def test_the_log_holds_what_the_table_took(spark, tmp_path):
+    t = KeyedTable(spark, f"file://{tmp_path}/t", ["k"], "day", ordered=True)
+    t.upsert(spark.createDataFrame([("a", 1, 9, "new"), ("b", 1, 1, "x")], SCHEMA), 0)
+    t.upsert(spark.createDataFrame([("a", 1, 3, "old"), ("b", 1, 2, "y"), ("c", 1, 1, "z")], SCHEMA), 1)
+    log = sorted((r.k, r.v, r._change_type) for r in spark.read.parquet(f"{t.path}_changes").filter("batch_id = 1").collect())
+    assert log == [("b", "y", "update_postimage"), ("c", "z", "insert")]
+
+
+@pytest.mark.parametrize("lose", [False, True])
+def test_stopped_between_staging_and_swap(spark, tmp_path, monkeypatch, lose):
+    rows = [(f"k{i}", i % 3, 1, "x") for i in range(30)]
+    more = [("k1", 1, 2, "y"), ("new", 2, 1, "z")]
+    at = f"file://{tmp_path}/t"
+    t = KeyedTable(spark, at, ["k"], "day")
+    t.upsert(spark.createDataFrame(rows, SCHEMA), 0)
+
+    def stop(self, staging):
+        if lose:  # amid the swap: the old partition is gone, the new one isn't there
+            shutil.rmtree(tmp_path / "t" / "day=1")
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_swap", stop)
+        with pytest.raises(OSError):
+            t.upsert(spark.createDataFrame(more, SCHEMA), 1)
+    again = KeyedTable(spark, at, ["k"], "day")
+    again.upsert(spark.createDataFrame(more, SCHEMA), 1)
+    want = {**{r[0]: r[3] for r in rows}, "k1": "y", "new": "z"}
+    assert {r.k: r.v for r in again.read().collect()} == want and again.read().count() == 31
+    assert again.recover() is None
+
+
+def quote(sym, minute, second, bid, seq, offset):
+    t = 1609770720000 + minute * 60000 + second * 1000
+    body = {"ev": "Q", "sym": sym, "bp": bid, "bs": 2, "ap": bid + 0.5, "as": 1, "t": t, "y": t, "q": seq, "z": 1, "bx": 1, "ax": 2}
+    return ("market.quotes", 0, offset, json.dumps(body), datetime(2024, 5, 23), datetime(2024, 5, 23).date())
+
+
+def trade(sym, minute, i, price, offset):
+    t = 1609770720000 + minute * 60000
+    return ("market.trades", 0, offset, json.dumps({"ev": "T", "sym": sym, "i": str(i), "p": price, "s": 5, "x": 1, "t": t, "y": t, "q": i, "z": 1}), datetime(2024, 5, 23), datetime(2024, 5, 23).date())
+
+
+def test_trades_and_quotes_however_split_and_stopped(spark, tmp_path, monkeypatch):
+    r = random.Random(2)
+    msgs = [quote(r.choice("ABX"), r.randrange(4), r.randrange(60), 1.0 + i, i % 3, i) for i in range(80)] + [trade(r.choice("ABX"), r.randrange(3000), r.randrange(30), float(i), i) for i in range(80)]
+    msgs += r.sample(msgs, 30)
+    schema = "kafka_topic string, kafka_partition int, kafka_offset bigint, raw_payload string, ingest_timestamp timestamp, ingest_date date"
+    master = spark.createDataFrame([("A", "FA"), ("B", "FB")], "symbol string, composite_figi string")
+    results = []
+    for name, parts in (("one", 1), ("many", 3)):
+        at = f"file://{tmp_path}/{name}"
+        r.shuffle(msgs)
+        for i in range(parts):
+            spark.createDataFrame(msgs[i::parts], schema).coalesce(1).write.mode("append").parquet(f"{at}/in")
+        bronze = spark.read.parquet(f"{at}/in").schema
+        quotes = KeyedTable(spark, f"{at}/quotes", QUOTE_KEYS, "quote_date", ordered=True)
+        trades = KeyedTable(spark, f"{at}/trades", TRADE_KEYS, "trade_date", ordered=True)
+        stats = KeyedTable(spark, f"{at}/stats", ["composite_figi", "window_start"], "quote_date", "version")
+        served = KeyedTable(spark, f"{at}/served", ["composite_figi", "trade_id"], "trade_date", "version")
+        run = lambda start: start().awaitTermination()
+        steps = [
+            lambda: quotes_stream(spark, f"{at}/in", bronze, master, quotes, f"{at}/c1", files=1),
+            lambda: trades_stream(spark, f"{at}/in", bronze, master, trades, f"{at}/c2", files=1),
+            lambda: quote_stats_stream(spark, quotes, spark.read.parquet(f"{quotes.path}_changes").schema, stats, f"{at}/c3", 1),
+            lambda: served_stream(spark, trades, spark.read.parquet(f"{trades.path}_changes").schema, served, f"{at}/c4", files=1),
+        ]
+        for step in steps:
+            if parts > 1:  # each stream is killed at its first swap and started again
+                with monkeypatch.context() as m:
+                    m.setattr(KeyedTable, "_swap", lambda self, staging: (_ for _ in ()).throw(OSError("killed")))
+                    with pytest.raises(Exception, match="killed"):
+                        run(step)
+            run(step)
+        results.append([sorted(map(str, x.read().drop("version").collect())) for x in (quotes, trades, stats, served)])
+    assert results[0] == results[1] and all(results[0])
+    best = {}
+    for m in msgs:
+        if m[0] == "market.trades":
+            b = json.loads(m[3])
+            best[b["sym"], b["i"]] = max(best.get((b["sym"], b["i"]), (-1, 0)), (m[2], b["p"]))
+    got = {(x.symbol, x.trade_id): x.trade_price for x in served.read().collect()}
+    assert got == {k: v[1] for k, v in best.items() if k[0] != "X"}
+
+
 def message(sym, minute, close, offset):
     s = 1716480000000 + minute * 60000
     body = {"ev": "AM", "sym": sym, "o": close, "h": close + 1, "l": close - 1, "c": close, "v": 10, "vw": close, "n": 1, "s": s, "e": s + 60000}

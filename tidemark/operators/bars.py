@@ -11,33 +11,46 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
-def daily_bars(bars: DataFrame, keys: tuple[str, ...] = ("composite_figi", "symbol", "event_date")) -> DataFrame:
-    """OHLCV per key. Open and close are those of the first and last bar."""
-    return bars.groupBy(*keys).agg(
-        F.min_by("open_price", "window_start").alias("open_price"), F.max("high_price").alias("high_price"), F.min("low_price").alias("low_price"),
-        F.max_by("close_price", "window_start").alias("close_price"), F.sum("volume").cast("bigint").alias("volume"),
-        ratio(F.sum(F.col("vwap") * F.col("volume")), F.sum("volume")).alias("vwap"), F.sum("trade_count").cast("bigint").alias("total_trades"),
-        F.count(F.lit(1)).alias("bar_count"), F.min("window_start").alias("first_bar_start"), F.max("window_start").alias("last_bar_start"),
-    )
+#: A quote that counts: neither locked nor crossed, with a bid.
+GOOD_QUOTE = "ask_price > bid_price and bid_price > 0"
 
 
-def quote_stats(quotes: DataFrame) -> DataFrame:
-    """Per FIGI, symbol and minute, of quotes that are neither locked nor crossed and have a bid."""
+def quote_measures() -> dict[str, Column]:
+    """What a single quote says: both sides, the spread in money and in ten-thousandths of the mid price, and the sizes offered."""
     bid, ask = F.col("bid_price"), F.col("ask_price")
     mid, spread = (bid + ask) / 2, ask - bid
-    bps = ratio(spread, mid) * 10000
-    bids, asks = F.sum("bid_size"), F.sum("ask_size")
-    return (
-        quotes.filter((ask > bid) & (bid > 0))
-        .groupBy("composite_figi", "symbol", F.date_trunc("minute", "sip_timestamp").cast("timestamp_ntz").alias("window_start"), "quote_date")
-        .agg(
-            F.count(F.lit(1)).alias("quote_count"), F.avg(bid).alias("avg_bid_price"), F.avg(ask).alias("avg_ask_price"),
-            F.avg(spread).alias("avg_spread_dollars"), F.avg(bps).alias("avg_spread_bps"), F.min(bps).alias("min_spread_bps"),
-            F.max(bps).alias("max_spread_bps"), F.avg(mid).alias("avg_mid_price"), F.avg("bid_size").alias("avg_bid_size"),
-            F.avg("ask_size").alias("avg_ask_size"), bids.cast("bigint").alias("bid_size_total"), asks.cast("bigint").alias("ask_size_total"),
-            ratio(bids - asks, bids + asks).alias("order_imbalance"),
-        )
-    )
+    return {"bid": bid, "ask": ask, "spread": spread, "mid": mid, "bps": ratio(spread, mid) * 10_000, "bid_size": F.col("bid_size"), "ask_size": F.col("ask_size")}
+
+
+#: Columns of a minute's quote statistics: the measure, and how a minute's values are summed up.
+QUOTE_STATS = {
+    "avg_bid_price": ("bid", F.avg), "avg_ask_price": ("ask", F.avg), "avg_spread_dollars": ("spread", F.avg), "avg_mid_price": ("mid", F.avg),
+    "avg_spread_bps": ("bps", F.avg), "min_spread_bps": ("bps", F.min), "max_spread_bps": ("bps", F.max),
+    "avg_bid_size": ("bid_size", F.avg), "avg_ask_size": ("ask_size", F.avg), "bid_size_total": ("bid_size", F.sum), "ask_size_total": ("ask_size", F.sum),
+}
+
+
+def daily_bars(bars: DataFrame, keys: tuple[str, ...] = ("composite_figi", "symbol", "event_date")) -> DataFrame:
+    """One bar per key out of its shorter ones: its ends are the ends of the first and last of them, its extremes theirs, its
+    volume and trades their totals, its price their average by volume (null without volume)."""
+    start, shares = F.col("window_start"), F.col("volume")
+    ends = {"open_price": F.min_by("open_price", start), "close_price": F.max_by("close_price", start), "first_bar_start": F.min(start), "last_bar_start": F.max(start)}
+    extremes = {"high_price": F.max("high_price"), "low_price": F.min("low_price")}
+    totals = {"volume": F.sum(shares), "total_trades": F.sum("trade_count"), "bar_count": F.count(F.lit(1))}
+    money = {"vwap": ratio(F.sum(shares * F.col("vwap")), F.sum(shares))}
+    aggs = ends | extremes | {k: x.cast("bigint") for k, x in totals.items()} | money
+    order = ("open_price", "high_price", "low_price", "close_price", "volume", "vwap", "total_trades", "bar_count", "first_bar_start", "last_bar_start")
+    return bars.groupBy(*keys).agg(*(aggs[x].alias(x) for x in order))
+
+
+def quote_stats(quotes: DataFrame) -> DataFrame:
+    """``QUOTE_STATS`` of the quotes that count, per FIGI, symbol and minute, with their number and the lean of the sizes towards the bid."""
+    minute = F.date_trunc("minute", "sip_timestamp").cast("timestamp_ntz").alias("window_start")
+    each = quotes.filter(GOOD_QUOTE).select("composite_figi", "symbol", minute, "quote_date", *(x.alias(k) for k, x in quote_measures().items()))
+    whole = {k: f(x).cast("bigint") if f is F.sum else f(x) for k, (x, f) in QUOTE_STATS.items()}
+    out = each.groupBy("composite_figi", "symbol", "window_start", "quote_date").agg(F.count(F.lit(1)).alias("quote_count"), *(x.alias(k) for k, x in whole.items()))
+    bids, asks = F.col("bid_size_total"), F.col("ask_size_total")
+    return out.withColumn("order_imbalance", ratio(bids - asks, bids + asks))
 
 
 def affected_dates(snapshot: DataFrame, changed: DataFrame, date: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import from_micros, micros, stamp
+from tidemark.operators.bars import GOOD_QUOTE, quote_measures
 from tidemark.operators.kslack import kslack
 from tidemark.session import scratch
 from tidemark.sources.tables import table
@@ -22,13 +23,8 @@ NUDGE = 1e-7
 
 def quote_minutes(quotes: DataFrame) -> DataFrame:
     """Provisional and final statistics per symbol and minute; locked, crossed and zero-bid quotes are left out."""
-    bid, ask = F.col("bid_price"), F.col("ask_price")
-    measures = {
-        "bid": bid, "ask": ask, "spread": ask - bid, "mid": (ask + bid) / 2, "bps": (ask - bid) / F.nullif((ask + bid) / 2, F.lit(0.0)) * 10000,
-        "bid_size": F.col("bid_size"), "ask_size": F.col("ask_size"),
-    }
     return kslack(
-        quotes, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", measures, (ask > bid) & (bid > 0),
+        quotes, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", quote_measures(), F.expr(GOOD_QUOTE),
         ranged=("bps",), ordered=("mid", "spread"), slack_s=SLACK_S, grace_s=GRACE_S,
     )
 
@@ -66,12 +62,10 @@ def p3_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.least(F.floor((arrived - lo) * DELIVERIES / F.lit((hi or 0) - (lo or 0) + 1)), F.lit(DELIVERIES - 1)) if hi is not None else F.lit(0)
     q.withColumn("delivery", F.coalesce(place, F.lit(0)).cast("int")).write.partitionBy("delivery").parquet(f"{at}/all")
     whole = spark.read.parquet(f"{at}/all")
-    bid, ask = F.col("bid_price"), F.col("ask_price")
-
     def run(rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{at}/in")
         stream = spark.readStream.schema(q.schema).parquet(f"{at}/in")
-        out = kslack_stream(stream, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", (ask + bid) / 2, (ask > bid) & (bid > 0), SLACK_S, GRACE_S)
+        out = kslack_stream(stream, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", quote_measures()["mid"], F.expr(GOOD_QUOTE), SLACK_S, GRACE_S)
         put = lambda df, i: df.write.mode("overwrite").parquet(f"{at}/out/batch={i}")
         out.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
 
