@@ -1,10 +1,13 @@
 import math
+import random
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 
 from tidemark.operators import analytics as A
 from tidemark.operators import bars as B
+from tidemark.operators.quantiles import exact_percentiles
 from tidemark.operators.latest import keep_latest, top_per_key
 
 SCHEMA = "composite_figi string, symbol string, event_date date, window_start timestamp_ntz, open_price double, high_price double, low_price double, close_price double, volume bigint, vwap double, trade_count int"
@@ -50,6 +53,58 @@ def test_tick_rule(spark):
     assert [x[1] for x in out] == ["BUY", "BUY", "BUY", "BUY", "SELL", "SELL", "BUY"] and [x[2] for x in out] == [False] * 4 + [True, False, True]
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 7, 1000])
+def test_tick_rule_over_chunks(spark, chunk):
+    r = random.Random(chunk)
+    rows = [(r.choice(["H"] * 6 + ["A", None]), i, r.choice([1.0, 2.0, 2.0, 3.0, None]), 1, datetime(2026, 5, 1, 14, 0, r.randrange(20))) for i in range(200)]
+    df = spark.createDataFrame(rows, "symbol string, trade_id int, trade_price double, trade_size int, sip_timestamp timestamp_ntz").repartition(5)
+    want = {}
+    for s in ("H", "A", None):
+        last, direction = None, None
+        for x in sorted((x for x in rows if x[0] == s), key=lambda x: (x[4], x[1])):
+            if last is not None and x[2] is not None and x[2] != last:
+                direction = "BUY" if x[2] > last else "SELL"
+            want[x[1]] = direction or "BUY"
+            last = x[2]
+    out = A.trade_flow(df, chunk_rows=chunk)
+    assert out.columns == [*df.columns, "direction", "notional", "is_block"]
+    assert {x.trade_id: x.direction for x in out.collect()} == want
+
+
+def test_exact_percentiles(spark):
+    r = random.Random(3)
+    rows = [(r.choice(["H"] * 8 + ["A", None]), r.choice([None, float("nan"), 5.0, r.uniform(0, 100)])) for _ in range(3000)] + [("none", None), ("one", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    ps = {"lo": 0.0, "q": 0.25, "mid": 0.5, "p99": 0.99, "hi": 1.0}
+    got = {x.g: tuple(x)[1:] for x in exact_percentiles(df, ["g"], "v", ps).collect()}
+    for g in ("H", "A", None, "one"):
+        v = [x for k, x in rows if k == g and x is not None and x == x]
+        assert got.pop(g) == pytest.approx(tuple(np.quantile(v, list(ps.values()))))
+    assert not got and exact_percentiles(df.limit(0), ["g"], "v", ps).count() == 0
+
+
+def test_days_of_few_bars_enter_no_frame(spark):
+    day = lambda d: date(2026, 1, d)
+    rows = [("F", "A", day(d), 10.0, 0.01, 5, 100 + d % 3, 1.0, 20.0 + d % 2, 0.02, 3 if d == 10 else 20) for d in range(1, 21)]
+    names = ["composite_figi", "symbol", "event_date", "close_price", "daily_log_return", "x", "total_volume", "total_dollar_volume", "realized_vol", "intraday_range", "bar_count"]
+    df = spark.createDataFrame(rows, names).selectExpr("*", "20.5D avg_vol_20", "if(event_date = '2026-01-20', 3.0D, 0.1D) volume_zscore", "100D avg_volume_20", "0.1D daily_simple_return")
+    out = {x.event_date: x for x in A.unusual_activity(df).collect()}
+    assert day(10) not in out and len(out) == 19
+    assert out[day(20)].is_volume_spike and out[day(20)].activity == "VOLUME" and out[day(5)].activity == "NORMAL"
+    assert out[day(5)].return_vol_ratio == pytest.approx(0.01 / (0.205 / math.sqrt(252)))
+
+
+def test_a_session_of_bars_is_scored(spark):
+    t = lambda m: datetime(2026, 5, 26, 14, m)
+    rows = [("F", "A", DAY, t(0), t(1), 1.0, 2.0, 0.5, 1.5, 10, 1.0, 1), ("F", "A", DAY, t(1), t(2), 1.0, 0.5, 2.0, 1.5, None, None, 1), ("F", "A", DAY, t(3), t(4), 1.0, 2.0, 0.5, None, -1, 1.0, 1)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("window_start timestamp_ntz", "window_start timestamp_ntz, silver_timestamp timestamp_ntz"))
+    r = A.bar_quality(df).collect()[0]
+    assert (r.bars, r.bad_close, r.bad_volume, r.high_below_low, r.close_outside, r.open_outside, r.bad_vwap, r.failed) == (3, 1, 2, 1, 1, 1, 1, 7)
+    assert (r.expected_bars, r.completeness_pct, r.max_lag) == (4, 75.0, 60)
+    h = A.pipeline_health(df).collect()[0]
+    assert (h.bars, h.total_volume, h.session_minutes, h.p50_lag, h.mode) == (3, 9, 3, 60.0, "streaming")
+
+
 def test_quote_stats_leave_out_locked_and_crossed(spark):
     t = datetime(2026, 5, 1, 14, 0, 5)
     rows = [("F", "A", t, t.date(), b, a, 1, 3) for b, a in ((10.0, 10.1), (10.0, 10.0), (10.1, 10.0), (0.0, 1.0), (None, 1.0), (10.0, 10.3))]

@@ -4,6 +4,7 @@ import pytest
 
 from tidemark.operators.ingest import parse_bars
 from tidemark.plans import market
+from tidemark.sources.tables import table
 from tidemark.plans.build import MODELS, build, order
 from tidemark.operators.bars import quote_stats
 from tidemark.sources import kafka, sinks
@@ -60,9 +61,9 @@ def test_broker_options():
 
 
 def test_models_are_built_in_order(spark, tmp_path):
-    assert order(["unusual_activity"])[-1] == "unusual_activity" and set(order(["unusual_activity"])) == {"daily", "minute_returns", "daily_stats", "unusual_activity"}
+    assert order(["unusual_activity"])[-1] == "unusual_activity" and set(order(["unusual_activity"])) == {"daily", "closes", "daily_returns", "minute_returns", "daily_stats", "unusual_activity"}
     sf = "/root/testdata/sf0.001"
-    sources = {"bars": market.hour_bars(spark, sf), "trades": market.ticks(spark, sf), "quote_stats": quote_stats(market.tick_quotes(spark, sf))}
+    sources = {"bars": market.minute_bars(spark, sf), "trades": market.trades(spark, sf), "quote_stats": quote_stats(table(spark, sf, "silver_quotes"))}
     out = build(spark, sources, f"file://{tmp_path}/m")
     assert set(out) == set(MODELS) and all(df.count() for x, df in out.items() if x != "correlation_matrix")
     with pytest.raises(KeyError):

@@ -13,12 +13,20 @@ TOPICS = {"AM": "market.aggregates", "A": "market.aggregates", "T": "market.trad
 LINEAGE = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
+def whole_json(payload: str | Column, field: str) -> Column:
+    """A text field of a payload, null unless the payload is one whole JSON object: a truncated text may still have fields at its start."""
+    return F.from_json(payload, f"{field} string")[field]
+
+
 def enrich_bronze(records: DataFrame) -> DataFrame:
-    """Log rows from broker records (key, value, topic, partition, offset, timestamp): nothing is dropped, only the kind is read."""
+    """Log rows from broker records (key, value, topic, partition, offset, timestamp): nothing is dropped, only the kind is read.
+
+    A payload that isn't whole JSON has no kind.
+    """
     return records.select(
         F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"), F.col("value").cast("string").alias("raw_payload"),
-        F.current_timestamp().alias("ingest_timestamp"), F.get_json_object(F.col("value").cast("string"), "$.ev").alias("event_type"),
+        F.current_timestamp().alias("ingest_timestamp"), whole_json(F.col("value").cast("string"), "ev").alias("event_type"),
         F.to_date(F.current_timestamp()).alias("ingest_date"),
     )
 
@@ -67,8 +75,8 @@ def parse_quotes(bronze: DataFrame) -> DataFrame:
 
 
 def route(events: DataFrame, payload: str = "raw_payload") -> DataFrame:
-    """topic and key of each message by its kind; status messages, unknown kinds and messages without a symbol have no route."""
-    kind, symbol = F.get_json_object(payload, "$.ev"), F.get_json_object(payload, "$.sym")
+    """topic and key of each message by its kind; status messages, unknown kinds, messages without a symbol and texts that aren't whole JSON have no route."""
+    kind, symbol = whole_json(payload, "ev"), whole_json(payload, "sym")
     topic = F.create_map(*(F.lit(x) for kv in TOPICS.items() for x in kv))[kind]
     return events.withColumn("topic", topic).withColumn("key", symbol).filter(F.col("topic").isNotNull() & (F.col("key") != ""))
 

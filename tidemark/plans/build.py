@@ -30,11 +30,14 @@ MODELS = {
     "minute_returns": Model(A.minute_returns, ("bars",)),
     "daily_returns": Model(lambda d, c: _known(A.daily_returns(d, c)), ("daily", "closes")),
     "trade_flow": Model(A.trade_flow, ("trades",)),
-    "daily_stats": Model(A.daily_stats, ("minute_returns", "daily"), True),
+    "daily_stats": Model(A.daily_stats, ("minute_returns", "daily_returns"), True),
     "unusual_activity": Model(A.unusual_activity, ("daily_stats",), True),
     "correlation_matrix": Model(A.correlation_matrix, ("daily_returns",), True),
     "volume_profile": Model(A.volume_profile, ("minute_returns",), True),
     "microstructure_daily": Model(A.microstructure_daily, ("trade_flow", "quote_stats"), True),
+    "spread_profile": Model(A.spread_profile, ("quote_stats", "trade_flow"), True),
+    "pipeline_health": Model(A.pipeline_health, ("bars",), True),
+    "data_quality": Model(A.bar_quality, ("bars",), True),
     "trade_size_distribution": Model(A.size_distribution, ("trade_flow",), True),
 }
 
