@@ -7,7 +7,7 @@ from tidemark.plans import market
 from tidemark.sources.tables import table
 from tidemark.plans.build import MODELS, build, order
 from tidemark.operators.bars import quote_stats
-from tidemark.sources import kafka, sinks
+from tidemark.sources import catalog, kafka, sinks, spillover
 from tidemark.sources.dimensions import current, on_date, view
 from tidemark.sources.synthetic import bar_messages
 from pyspark.sql import functions as F
@@ -25,6 +25,59 @@ def test_loads(spark, tmp_path):
     assert (r.source_rows, r.sink_rows, r.matches) == (10, 20, False)
 
 
+def test_a_load_that_fails_leaves_the_table(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    df = spark.range(10)
+    sinks.load(df, path)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.load(df.selectExpr("1 div (id - 5) id"), path)
+    assert spark.read.parquet(path).count() == 10
+    sinks.replace(spark.read.parquet(path).filter("ID < 3"), path)  # out of itself
+    assert spark.read.parquet(path).count() == 3 and sorted(x.name for x in tmp_path.iterdir()) == ["t"]
+    assert 0 < len(sinks.dry_run(spark.range(1000), 10)) < 300 and len(sinks.dry_run(spark.range(7), 1)) == 7
+
+
+def test_spilled_messages(spark, tmp_path):
+    folder, sent = f"file://{tmp_path}/s", []
+    row = lambda *v: spark.createDataFrame([("t", "k", x, None) for x in v], "topic string, key string, value string, trace_id string")
+
+    def publish(df):
+        sent.extend(sorted(r.value for r in df.collect()))
+
+    def fails(df):
+        raise OSError("away")
+
+    assert spillover.pending(spark, folder) == [] and spillover.replay(spark, folder, publish) == 0 and spillover.gaps(spark, folder).count() == 0
+    assert spillover.publish_or_spill(row("a"), publish, folder)
+    for day, v in ((2, "c"), (1, "b")):
+        assert not spillover.publish_or_spill(row(v), fails, folder, datetime(2020, 1, day))
+    files = spillover.pending(spark, folder)
+    assert sorted({x.rsplit("/", 2)[1] for x in files}) == ["2020-01-01", "2020-01-02"] and files == sorted(files)
+    with pytest.raises(OSError):
+        spillover.replay(spark, folder, fails)
+    assert spillover.pending(spark, folder) == files
+    assert spillover.replay(spark, folder, publish) == 2 and spillover.replay(spark, folder, publish) == 0
+    assert sent == ["a", "b", "c"] and [(r.reason, r.rows) for r in spillover.gaps(spark, folder).collect()] == [("away", 1)] * 2
+
+
+def test_tables_and_views(spark, tmp_path):
+    catalog.drop_database(spark, "t_cat")
+    try:
+        for _ in range(2):
+            catalog.create_tables(spark, "t_cat", f"file://{tmp_path}/c")
+            catalog.create_views(spark, "t_cat", "2010-01-05")
+        sf = "/root/testdata/sf0.001"
+        for name in ("bronze", "silver_trades", "silver_quotes", "gold_minute_bars", "gold_daily_rollup", "gold_quote_stats", "batch_daily_prices", "pipeline_batch_metrics"):
+            df = table(spark, sf, name)
+            catalog.load_table(spark, "t_cat", name, df)
+            assert spark.table(f"t_cat.{name}").count() == df.count(), name
+        v = spark.table("t_cat.stg_daily_prices")
+        assert "batch_loaded_at" in v.columns and v.count() > 0
+        assert catalog.name_of("bronze") == "tidemark_dev.bronze" and catalog.name_of("x", "prod", {"prod": "p"}) == "p.x"
+    finally:
+        catalog.drop_database(spark, "t_cat")
+
+
 def test_dates_are_replaced_alone_and_idempotently(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     df = spark.sql("select id, date '2020-01-01' + cast(id % 3 as int) d from range(9)")

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.session import staged, width
+from tidemark.operators.quantiles import ranked_counts
+from tidemark.session import staged
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 DECILES = [f"q{i}0" for i in range(1, 10)]
@@ -89,7 +90,7 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
     Hash bins hardly show changed identifiers: for those, changes compares the values themselves.
     """
     v = F.when(F.col("numeric"), F.col("value").try_cast("double"))
-    flat = counts.groupBy("load", "column_name", "numeric", "value").agg(F.sum("n").alias("n"))
+    flat = staged(counts.groupBy("load", "column_name", "numeric", "value").agg(F.sum("n").alias("n")), "counts")  # read by two branches
     real = F.when(~F.isnan(v), v)
     g = flat.groupBy("load", "column_name", "numeric").agg(
         F.sum("n").alias("row_count"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
@@ -106,7 +107,8 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
         F.when(F.col("value").isNull(), "null").when(F.isnan(v), "nan").when(F.col("q50").isNotNull() & F.col("numeric"), decile.cast("string"))
         .when(F.col("numeric"), power).otherwise(F.substring(F.md5("value"), 1, 1))
     )
-    bins = b.groupBy("load", "column_name", bin_.alias("bin")).agg(F.sum("n").alias("n"))
+    bins = staged(b.groupBy("load", "column_name", bin_.alias("bin")).agg(F.sum("n").alias("n")), "bins")  # some twenty rows per load and column
+    g = staged(g, "totals")  # one row per load and column
     order = Window.partitionBy("column_name").orderBy("load")  # as many rows as loads
     loads = g.select("load", "column_name", F.col("row_count")).withColumn("before", F.lag("load").over(order)).withColumn("rows_before", F.lag("row_count").over(order))
     now = bins.join(loads, ["load", "column_name"]).filter("before is not null")
@@ -125,20 +127,9 @@ def profile(counts: DataFrame, baseline: DataFrame) -> DataFrame:
 
 
 def load_deciles(flat: DataFrame) -> DataFrame:
-    """load, column_name, own: the exact deciles of each load's numbers, from (load, column_name, v, n). The k-th is the least value up to which k tenths of the rows lie.
-
-    Values are put in order over range partitions, so a column of many values is ranked by many tasks.
-    """
-    by = ["load", "column_name", "v"]
-    put = flat.repartitionByRange(width(flat.sparkSession), *by).sortWithinPartitions(*by).withColumn("pid", F.spark_partition_id())
-    put = staged(put, "ranked")
-    each = Window.partitionBy("load", "column_name")  # as many rows as partitions that hold the column
-    sums = put.groupBy("pid", "load", "column_name").agg(F.sum("n").alias("s"))
-    earlier = each.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("pid", "load", "column_name", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("offset"), F.sum("s").over(each).alias("total"))
-    inside = Window.partitionBy("pid", "load", "column_name").orderBy("v")
-    ranked = put.withColumn("upto", F.sum("n").over(inside)).join(sums, ["pid", "load", "column_name"])
-    reached = lambda k: (F.col("offset") + F.col("upto")) * 10 >= F.col("total") * k
+    """load, column_name, own: the exact deciles of each load's numbers, from (load, column_name, v, n). The k-th is the least value up to which k tenths of the rows lie."""
+    ranked = ranked_counts(flat.select("load", "column_name", "v", "n"), ["load", "column_name"])
+    reached = lambda k: F.col("upto") * 10 >= F.col("total") * k
     return ranked.groupBy("load", "column_name").agg(F.array(*(F.min(F.when(reached(k), F.col("v"))) for k in range(1, 10))).alias("own"))
 
 

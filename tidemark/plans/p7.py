@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import ranked_counts
 from tidemark.operators.tail_sketch import merge_sketches, percentiles, sketches
 from tidemark.session import staged
 from tidemark.sources.tables import table
@@ -40,31 +41,45 @@ def p7_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text(days, F.col("session_date").cast("string")).unionAll(text(every, F.lit("all")))
 
 
+def _within(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
+    """keys, p and whether the rank of the percentile found lies within its bound, by exact ranks of all values.
+
+    A percentile is one of the values, so it finds its ranks by equality, and no group is worked on by one task.
+    """
+    days = staged(day_sketches(spark, sf_dir), "sketches")
+    found = percentiles(days if "session_date" in keys else merge_sketches(days, keys), PERCENTILES)
+    found = staged(found.select(*(F.col(k).alias(f"f{i}") for i, k in enumerate(keys)), F.col("n").alias("fn"), "p", "value", "rank_bound"), "percentiles")
+    flat = values(spark, sf_dir).filter("v is not null and not isnan(v)").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    ranks = ranked_counts(flat, keys)
+    on = F.col("v") == F.col("value")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"f{i}"))
+    share, slack = F.col("p") * F.col("total"), F.col("rank_bound") * F.col("total") + 1
+    held = (F.col("fn") == F.col("total")) & (F.col("upto") - F.col("n") <= share + slack) & (F.col("upto") >= share - slack)
+    return found.join(ranks, on, "left").select(*(F.col(f"f{i}").alias(k) for i, k in enumerate(keys)), "p", F.coalesce(held, F.lit(False)).alias("within"))
+
+
 def p7_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The percentiles of all days against exact ranks: whether each value's rank lies within its bound."""
-    every = merge_sketches(staged(day_sketches(spark, sf_dir), "sketches"), ["metric", "grp"])
-    found = percentiles(every, PERCENTILES).groupBy("metric", "grp", "n").agg(F.array_sort(F.collect_list(F.struct("p", "value", "rank_bound"))).alias("q"))
-    found = staged(found, "percentiles").withColumnRenamed("grp", "g").withColumnRenamed("metric", "m")
-    rows = values(spark, sf_dir).filter("v is not null and not isnan(v)")
-    joined = rows.join(found, F.col("metric").eqNullSafe(F.col("m")) & F.col("grp").eqNullSafe(F.col("g")))
-    at = range(len(PERCENTILES))
-    count = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
-    sums = [count(F.col("v") < F.col("q")[i]["value"]).alias(f"below{i}") for i in at] + [count(F.col("v") <= F.col("q")[i]["value"]).alias(f"upto{i}") for i in at]
-    ranks = joined.groupBy("metric", "grp").agg(F.first("n").alias("n"), F.first("q").alias("q"), *sums)
-    each = F.array(*(F.struct(F.col("q")[i].alias("q"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i in at))
-    e = ranks.select("metric", "grp", "n", F.explode(each).alias("e"))
-    share = F.col("e.q.p") * F.col("n")
-    slack = F.col("e.q.rank_bound") * F.col("n") + 1
-    return e.select("metric", "grp", F.col("e.q.p").alias("p"), ((F.col("e.below") <= share + slack) & (F.col("e.upto") >= share - slack)).alias("within"))
-
-
-QUERIES = {f.__name__: f for f in (p7_percentiles, p7_within_bound)}
-
-#: p7_percentiles has none: sketches aren't SQL (tests: brute force).
+    """The percentiles of all days, from the days' sketches combined, against exact ranks."""
+    return _within(spark, sf_dir, ["metric", "grp"])
+
+
+def p7_days_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentiles of each day against exact ranks."""
+    return _within(spark, sf_dir, ["metric", "grp", "session_date"]).withColumn("session_date", F.col("session_date").cast("string"))
+
+
+QUERIES = {f.__name__: f for f in (p7_percentiles, p7_within_bound, p7_days_within_bound)}
+
+#: p7_percentiles has none: sketches aren't SQL (its rows are held against exact ranks by the other two; tests: brute force).
+_GROUPS = """
+        WITH v AS (SELECT 'silver_trades.trade_size' AS metric, symbol AS grp, trade_date AS session_date FROM silver_trades WHERE trade_size IS NOT NULL
+          UNION ALL SELECT 'silver_quotes.bid_price', symbol, quote_date FROM silver_quotes WHERE bid_price IS NOT NULL AND NOT isnan(bid_price)
+          UNION ALL SELECT 'pipeline_batch_metrics.duration_ms', layer, CAST(started_at AS DATE) FROM pipeline_batch_metrics WHERE duration_ms IS NOT NULL)"""
+
 SQL = {
-    "p7_within_bound": f"""
-        WITH v AS (SELECT 'silver_trades.trade_size' AS metric, symbol AS grp FROM silver_trades WHERE trade_size IS NOT NULL
-          UNION ALL SELECT 'silver_quotes.bid_price', symbol FROM silver_quotes WHERE bid_price IS NOT NULL AND NOT isnan(bid_price)
-          UNION ALL SELECT 'pipeline_batch_metrics.duration_ms', layer FROM pipeline_batch_metrics WHERE duration_ms IS NOT NULL)
+    "p7_within_bound": f"""{_GROUPS}
         SELECT metric, grp, p, TRUE AS within FROM (SELECT DISTINCT metric, grp FROM v), (SELECT unnest({PERCENTILES}) AS p)""",
+    "p7_days_within_bound": f"""{_GROUPS}
+        SELECT metric, grp, CAST(session_date AS VARCHAR) AS session_date, p, TRUE AS within FROM (SELECT DISTINCT metric, grp, session_date FROM v), (SELECT unnest({PERCENTILES}) AS p)""",
 }

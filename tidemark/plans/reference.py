@@ -6,6 +6,7 @@ Floating-point results are rounded on both sides, dates and times are text, so t
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,11 +16,15 @@ from tidemark.operators import analytics as A
 from tidemark.operators import bars as B
 from tidemark.operators import ingest as I
 from tidemark.operators.latest import keep_latest, top_per_key
-from tidemark.operators.quantiles import with_percentiles
+from tidemark.operators.offset_chunks import number_rows
+from tidemark.operators.quantiles import exact_percentiles, with_percentiles
 from tidemark.operators.upsert import KeyedTable, merged
 from tidemark.plans import market as M
-from tidemark.session import scratch
+from tidemark.session import scratch, staged
+from tidemark.sources.catalog import create_tables, create_views, drop_database, load_table
+from tidemark.sources.dimensions import on_date
 from tidemark.sources.envelopes import read_envelopes, subscriptions, write_envelopes
+from tidemark.sources.spillover import gaps, publish_or_spill, replay
 from tidemark.sources.tables import table
 from tidemark.streaming.medallion import BAR_KEYS, QUOTE_KEYS, TRADE_KEYS, bars_stream, daily_stream, log_stream, quote_stats_stream, quotes_stream, served_stream, trades_stream
 
@@ -754,3 +759,107 @@ def stream_quotes(spark, sf):
     stats = KeyedTable(spark, f"{at}/stats", ["composite_figi", "window_start"], "quote_date", "version")
     quote_stats_stream(spark, quotes, _changes(spark, quotes), stats, f"{at}/c2").awaitTermination()
     return stats.read().drop("version")
+
+
+# catalog, spilled messages, presentation
+
+_STG = "composite_figi, symbol, event_date AS price_date, open_price, high_price, low_price, close_price, volume, vwap, total_trades, bar_count, first_bar_start, last_bar_start, updated_at AS streaming_updated_at"
+
+
+@query(f"SELECT {_STG} FROM gold_daily_rollup WHERE event_date >= DATE '{FIRST}'", times=("price_date", "first_bar_start", "last_bar_start", "streaming_updated_at", "volume", "total_trades", "bar_count"))
+def catalog_views(spark, sf):
+    """Tables and views are made, twice, a table is loaded, twice, and read through its view."""
+    at = scratch(spark, "catalog")
+    db = "tidemark_" + at.rpartition("-")[2]
+    for _ in range(2):
+        create_tables(spark, db, at)
+        create_views(spark, db, FIRST)
+        load_table(spark, db, "gold_daily_rollup", table(spark, sf, "gold_daily_rollup"))
+    out = staged(spark.table(f"{db}.stg_daily_rollup"), "view")
+    drop_database(spark, db)
+    return out
+
+
+@query(
+    f"""SELECT {_get('ev')} AS ev, count(*) AS published, count(*) FILTER ({_get('ev')} = 'T') AS spilled_first FROM bronze WHERE {_get('ev')} IN ('AM', 'A', 'T', 'Q') AND {_get('sym')} <> '' GROUP BY ALL"""
+)
+def spill_and_replay(spark, sf):
+    """Trades can't be published at first, are spilled, and are published by a replay, once."""
+    at = scratch(spark, "spill")
+    routed = I.route(table(spark, sf, "bronze")).select("topic", "key", F.col("raw_payload").alias("value"), F.lit(None).cast("string").alias("trace_id"))
+
+    def publish(df):
+        df.write.mode("append").parquet(f"{at}/published")
+
+    def fails(df):
+        raise OSError("the broker is away")
+
+    publish_or_spill(routed.filter("topic <> 'market.trades'"), publish, f"{at}/spill")
+    publish_or_spill(routed.filter("topic = 'market.trades'"), fails, f"{at}/spill")
+    waiting = gaps(spark, f"{at}/spill").agg(F.sum("rows").alias("waiting"))
+    n = replay(spark, f"{at}/spill", publish) + replay(spark, f"{at}/spill", publish)
+    kind = F.get_json_object("value", "$.ev")
+    out = spark.read.parquet(f"{at}/published").groupBy(kind.alias("ev")).agg(F.count(F.lit(1)).alias("published"))
+    told = F.when((F.col("ev") == "T") & (F.col("waiting") == n), F.lit(n)).otherwise(0).cast("bigint")
+    return out.withColumn("one", F.lit(1)).join(waiting.withColumn("one", F.lit(1)), "one").select("ev", "published", told.alias("spilled_first"))
+
+
+@query("SELECT composite_figi, symbol, price_date, close_price, CAST(volume AS VARCHAR) AS volume FROM batch_daily_prices WHERE price_date = DATE '2010-01-05' AND symbol IN (SELECT symbol FROM security_master) AND composite_figi IS NOT NULL", times=("price_date",))
+def prices_of_a_date(spark, sf):
+    """One date's prices of the members whose identity is known."""
+    members = [r[0] for r in table(spark, sf, "security_master").select("symbol").collect()]  # a fixed table
+    out = on_date(table(spark, sf, "batch_daily_prices"), "price_date", date(2010, 1, 5), "symbol", members, "composite_figi")
+    return out.select("composite_figi", "symbol", "price_date", "close_price", F.col("volume").cast("string").alias("volume"))
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY price_date, symbol, loaded_at, close_price NULLS FIRST, volume NULLS FIRST) AS BIGINT) AS place, symbol, price_date FROM batch_daily_prices", times=("price_date",))
+def back_fill_in_order(spark, sf):
+    """All dates, in order of date: range partitions, numbered by the rows before each, so that no task sorts the whole."""
+    df = table(spark, sf, "batch_daily_prices").select("symbol", "price_date", "loaded_at", "close_price", "volume")
+    rows = number_rows(df.withColumn("whole", F.lit(0)), ["whole"], ["price_date", "symbol", "loaded_at", "close_price", "volume"])
+    return rows.select((F.col("number") + 1).alias("place"), F.col("o1").alias("symbol"), F.col("o0").alias("price_date"))
+
+
+@query(
+    f"{M.DOMAIN.unusual} => SELECT symbol, event_date, volume_zscore, activity FROM unusual WHERE is_unusual ORDER BY event_date DESC, volume_zscore DESC NULLS LAST, symbol, composite_figi NULLS FIRST LIMIT 100",
+    "volume_zscore", digits=3, times=("event_date",),
+)
+def top_unusual(spark, sf):
+    """The hundred latest and greatest."""
+    u = A.unusual_activity(_stats(M.minute_bars(spark, sf))).filter("is_unusual")
+    return u.orderBy(F.desc("event_date"), F.desc_nulls_last("volume_zscore"), "symbol", "composite_figi").limit(100).select("symbol", "event_date", "volume_zscore", "activity")
+
+
+_NEWEST = "kafka_topic, kafka_partition, kafka_offset, ingest_timestamp"
+
+
+@query(f"SELECT {_NEWEST} FROM (SELECT DISTINCT {_NEWEST} FROM bronze) ORDER BY ingest_timestamp DESC NULLS LAST, kafka_topic, kafka_partition, kafka_offset LIMIT 20", times=("ingest_timestamp",))
+def newest_messages(spark, sf):
+    b = table(spark, sf, "bronze").select(*_NEWEST.split(", ")).distinct()
+    return b.orderBy(F.desc_nulls_last("ingest_timestamp"), "kafka_topic", "kafka_partition", "kafka_offset").limit(20)
+
+
+@query(
+    f"""{M.DOMAIN.dreturns}, r AS (SELECT * FROM dreturns WHERE log_return IS NOT NULL AND composite_figi IS NOT NULL)
+    => SELECT count(*) AS n, count(*) FILTER (log_return > 0) AS up, count(*) FILTER (log_return < 0) AS down, avg(log_return) AS mean, max(log_return) AS greatest, min(log_return) AS least, quantile_cont(log_return, 0.5) AS median FROM r""",
+    "mean", "greatest", "least", "median",
+)
+def return_figures(spark, sf):
+    """Over all symbols and dates."""
+    r, x = _daily_returns(M.minute_bars(spark, sf)).filter("log_return is not null"), F.col("log_return")
+    out = r.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(x > 0, 1)).alias("up"), F.count(F.when(x < 0, 1)).alias("down"), F.avg(x).alias("mean"), F.max(x).alias("greatest"), F.min(x).alias("least"))
+    mid = exact_percentiles(r.select(F.lit(1).alias("one"), "log_return"), ["one"], "log_return", {"median": 0.5})
+    return out.withColumn("one", F.lit(1)).join(mid, "one", "left").drop("one")
+
+
+@query("SELECT symbol, sum(notional) AS notional, count(*) AS trades FROM (SELECT symbol, trade_price * trade_size AS notional FROM silver_trades) GROUP BY symbol ORDER BY notional DESC NULLS LAST, symbol LIMIT 15", "notional", digits=0)
+def largest_symbols(spark, sf):
+    """Fifteen symbols by value traded, as delivered."""
+    t = table(spark, sf, "silver_trades").groupBy("symbol").agg(F.sum(F.col("trade_price") * F.col("trade_size")).alias("notional"), F.count(F.lit(1)).alias("trades"))
+    return t.orderBy(F.desc_nulls_last("notional"), "symbol").limit(15)
+
+
+@query("SELECT symbol, bid_price FROM silver_quotes LIMIT 0")
+def empty_result(spark, sf):
+    """No rows, but their columns."""
+    return table(spark, sf, "silver_quotes").select("symbol", "bid_price").limit(0)
