@@ -1,11 +1,13 @@
+import itertools
 import math
 import random
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
-from tidemark.llm.mix import mix, period
+from tidemark.llm.mix import FRAME, exact, mix, period, proportions, slots
 
 DOCS = "doc_id bigint, text_key string, source string, n_tokens bigint, h int"
 TARGETS = "source string, target_share double, max_repeats int"
@@ -37,15 +39,34 @@ def test_no_drift_from_the_targets_in_a_long_mix():
             assert abs(done - Fraction(n, 98) * t) < 1
 
 
-def test_weights_of_a_long_period():
-    weights = {"a": 0.123456789, "b": 0.5123, "c": 2**0.5 / 4, "d": 1e-9}
-    need = {"a": 300, "b": 1200, "c": 900, "d": 1}
-    total = sum(Fraction(repr(w)) for w in weights.values())
-    slots = period(weights, need)
-    assert {s: len(x) for s, x in slots.items()} == need and len({t for x in slots.values() for t in x}) == 2401
-    for s, x in slots.items():
-        w = Fraction(repr(weights[s])) / total
-        assert all(math.floor(i / w) <= t < math.ceil((i + 1) / w) for i, t in enumerate(x))
+LONG = {"a": 0.123456789, "b": 0.5123, "c": 2**0.5 / 4, "d": 1e-9, "e": 0.01}
+
+
+@pytest.mark.parametrize("shares", [LONG, {s: Fraction(n, 98) for s, n in (("a", 20), ("b", 5), ("c", 15), ("d", 23), ("e", 35))}, {"a": 1 / 7, "b": 1 / 11, "c": 0.3}])
+def test_less_than_a_block_off_at_every_slot_of_a_long_mix(shares):
+    """120,000 slots against the exact target weights."""
+    parts = proportions(shares)
+    total = sum(exact(w) for w in shares.values())
+    weight = {s: exact(w) / total for s, w in shares.items()}
+    h, stop = sum(parts.values()), 120_000
+    at = np.full(stop, -1)
+    names = list(parts)
+    if h <= FRAME:
+        one = period(shares)
+        for k, s in enumerate(names):
+            every = (np.array(one[s])[None, :] + h * np.arange(stop // h + 1)[:, None]).ravel()
+            at[every[every < stop]] = k
+    else:
+        for s, i, t in itertools.islice(slots(parts), stop):
+            w = weight[s]
+            assert math.floor(i / w) <= t < math.ceil((i + 1) / w) and at[t] == -1
+            at[t] = names.index(s)
+    assert (at >= 0).all()
+    for k, s in enumerate(names):
+        n, d = weight[s].numerator, weight[s].denominator
+        done = np.cumsum(at == k)
+        # |done - w t| < 1 in whole numbers
+        assert all(abs(int(x) * d - n * t) < d for t, x in enumerate(done, 1))
 
 
 def test_mix_of_weights_of_a_long_period(spark):
@@ -53,6 +74,11 @@ def test_mix_of_weights_of_a_long_period(spark):
     out, report = run(spark, made(), goals, block_tokens=100)
     used = {s: sum(x.source == s for x in out) for s in report}
     assert all(r.n_used == used[s] > 0 for s, r in report.items()) and len({(x.source, x.slot) for x in out}) == len({(x.source, x.start_token // 100) for x in out})
+    total = sum(exact(g[1]) for g in goals)
+    weight = {g[0]: exact(g[1]) / total for g in goals}
+    for x in out:
+        i, w = x.start_token // 100, weight[x.source]
+        assert math.floor(i / w) <= x.slot < math.ceil((i + 1) / w)
 
 
 def made(seed=0):
@@ -98,7 +124,8 @@ def test_shares_caps_and_order(spark):
         n += x.n_tokens
         if y is None or y.slot != x.slot:
             for s, w in (("big", 0.5 / 0.9), ("mid", 0.3 / 0.9), ("small", 0.1 / 0.9)):
-                assert abs(done[s] - w * n) <= 2 * 100 + 2 * 60
+                # a block of the source, one of all, and for each the text that runs over it
+                assert abs(done[s] - w * n) <= 100 * (1 + w) + 60 * (1 + w)
 
 
 def test_running_sums_over_buckets(spark, monkeypatch):

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm.subjects import MASS, _Reader, factor, sentences, solve, subject_sentences
+from tidemark.llm.subjects import MASS, _Reader, factor, sentences, solve, solved, subject_sentences
 from tidemark.sources.tables import table
 
 
@@ -29,6 +29,20 @@ def test_updates_never_raise_the_divergence():
     assert w.sum(axis=1) == pytest.approx([len(k) for k in keys])
 
 
+def test_a_sentence_is_solved_alike_in_any_company():
+    rng = np.random.default_rng(1)
+    keys = [tuple(rng.integers(0, 60, rng.integers(1, 12)).tolist()) for _ in range(200)]
+    h = rng.random((6, 60)) ** 4
+    h /= h.sum(axis=1, keepdims=True)
+    w, rests = solved(h, keys)
+    assert rests.all()
+    for i in (0, 17, 99, 199):
+        assert np.allclose(solve(h, [keys[i]])[0], w[i], atol=1e-9)
+        assert np.allclose(solve(h, keys[i : i + 20])[0], w[i], atol=1e-9)
+    assert np.abs(w - solve(h, keys, 100_000, 1e-9)).max() < 0.1  # less than lies between MASS and two terms
+    assert not solved(h, keys, rounds=2)[1].all()
+
+
 def test_mixtures_of_made_up_subjects():
     r = random.Random(0)
     words = {k: [f"{k}{c}" for c in "abcdefgh"] for k in ("law", "sea", "sun")}

@@ -11,12 +11,13 @@ document counts and are zero elsewhere, and zeros stay zero under the updates; a
 in the background. While H is fitted, a sentence of a labelled document may load only on that document's subjects and the
 background, so that wrong labels and stray sentences are outweighed.
 
-H is fitted on at most ``FIT_DOCS`` labelled documents of at most ``FIT_CHARS`` characters, chosen by a hash of their id
-(the bounded sample of labelled rows that a classifier may be fitted on); a subject without labels is seeded by its
+H is fitted on at most ``FIT_DOCS`` labelled documents, whole, chosen by a hash of their id (the bounded sample of labelled
+rows that a classifier may be fitted on); a subject without labels is seeded by its
 description. With H fixed, W is then solved for every sentence of every document, whole texts, in Arrow batches. A
 component's mass in a sentence is the number of terms it explains. A sentence deals with the subject of the greatest
-mass if that is ``MASS`` terms or more (just under two, so that
-rounding doesn't decide about sentences of two anchors). A document has a subject if two of its sentences deal with it, or one in a
+mass if that is ``MASS`` terms or more (just under two, so that rounding doesn't decide about sentences of two anchors).
+A sentence is solved when a round moves none of its masses by more than ``SETTLED``, by its own movement alone, however many
+rounds it takes; ``SOLVE_ROUNDS`` is a far safety stop, and sentences that reach it are counted in ``n_unsettled``. A document has a subject if two of its sentences deal with it, or one in a
 document of fewer than ``SHORT`` sentences.
 
 Defined results: null and empty texts have no sentences and no subject; repeated texts get the same subjects each; very
@@ -26,10 +27,10 @@ nothing is found; empty tables give empty results.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import c
 from tidemark.session import spread, staged
 
-FIT_DOCS, FIT_CHARS = 3000, 20_000
+FIT_DOCS = 3000
 ANCHOR, EXCLUSIVE, MASS, SHORT = 0.5, 0.6, 1.9, 6
-BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS, SETTLED = 6, 40, 30, 0.01
+BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS, SETTLED = 6, 40, 10_000, 1e-4
 #: Entries of a block of sentences, so that its share of H stays in a core's cache; and what keeps quotients finite.
 BLOCK, TINY = 25_000, 1e-12
 
@@ -85,21 +86,30 @@ def _padded(h: np.ndarray) -> np.ndarray:
 
 
 def solve(h: np.ndarray, keys: list[tuple[int, ...]], rounds: int = SOLVE_ROUNDS, tol: float = SETTLED) -> np.ndarray:
-    """W for given H; its rows add up to the sentences' numbers of known terms. A row that moves by tol at most is settled."""
-    out, by_term = np.ones((len(keys), len(h))), _padded(h)
+    """W for given H; its rows add up to the sentences' numbers of known terms."""
+    return solved(h, keys, rounds, tol)[0]
+
+
+def solved(h: np.ndarray, keys: list[tuple[int, ...]], rounds: int = SOLVE_ROUNDS, tol: float = SETTLED) -> tuple[np.ndarray, np.ndarray]:
+    """W, and whether each of its rows has settled: it stays as it is from the first round on that moves it by tol at most."""
+    out, by_term, rests = np.ones((len(keys), len(h))), _padded(h), np.zeros(len(keys), bool)
     for part, ids in _blocks(keys, h.shape[1]):
         a, w, live = by_term[ids], np.ones((len(part), len(h))), np.arange(len(part))
+        open_ = np.ones(len(part), bool)
         for _ in range(rounds):
-            q = np.matmul(a, w[live][:, :, None])[:, :, 0] + TINY
-            new = w[live] * np.matmul((1 / q)[:, None, :], a)[:, 0]
-            moving = np.abs(new - w[live]).max(axis=1) > tol
-            w[live] = new
-            if moving.mean() < 0.7:  # else taking them out costs more than it saves
-                live, a = live[moving], a[moving]
+            old = w[live]
+            q = np.matmul(a, old[:, :, None])[:, :, 0] + TINY
+            new = old * np.matmul((1 / q)[:, None, :], a)[:, 0]
+            moving = np.abs(new - old).max(axis=1) > tol
+            on = open_[live]
+            w[live[on]] = new[on]
+            open_[live[on & ~moving]] = False
+            if (left := open_[live]).mean() < 0.7:  # else taking the settled out costs more than it saves
+                live, a = live[left], a[left]
                 if not len(live):
                     break
-        out[part] = w
-    return out
+        out[part], rests[part] = w, ~open_
+    return out, rests
 
 
 def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds: int = FIT_ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -151,10 +161,10 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
 def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], descriptions: dict[str, str]) -> tuple[list[str], np.ndarray]:
     """H from a bounded sample of the labelled documents (doc_id, text) and (doc_id, subject)."""
     known = labels.filter(c("subject").isin(subjects)).select("doc_id", "subject").distinct()
-    short = docs.filter(F.length("text") <= FIT_CHARS)
     ids = known.groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))  # at most all subjects
-    ids = ids.join(short.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
-    sample = short.join(ids, "doc_id").select("text", "subjects")
+    ids = ids.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
+    # written, so that the planner sees how small it is: texts are read for these documents alone
+    sample = docs.select("doc_id", "text").join(staged(ids, "labelled"), "doc_id").select("text", "subjects")
     at = {s: k for k, s in enumerate(subjects)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +192,10 @@ class _Reader:
         self.voc, self.h, self.n = {x: i for i, x in enumerate(terms)}, h, n
         self.speaks = (h[:n] > 0).any(axis=0)
         self.known: dict[tuple, int] = {}
+        self.unsettled: set[tuple] = set()
 
-    def read(self, texts: list[str | None]) -> list[list[int]]:
-        """Per text and sentence the subject's number, or -1."""
+    def read(self, texts: list[str | None]) -> tuple[list[list[int]], list[int]]:
+        """Per text and sentence the subject's number, or -1; per text the sentences that haven't settled."""
         keys = []
         for text in texts:
             own = []
@@ -196,41 +207,50 @@ class _Reader:
         new = list(dict.fromkeys(k for own in keys for k in own if k and k not in self.known))
         if len(self.known) + len(new) > 200_000:
             self.known.clear()
+            self.unsettled.clear()
             new = list(dict.fromkeys(k for own in keys for k in own if k))
-        mass = solve(self.h, new)[:, : self.n] if new else np.zeros((0, self.n))
+        w, rests = solved(self.h, new) if new else (np.zeros((0, self.n)), np.zeros(0, bool))
+        mass = w[:, : self.n]
         best = mass.argmax(axis=1) if new else []
+        self.unsettled.update(new[i] for i in np.flatnonzero(~rests))
         self.known.update(zip(new, np.where(mass.max(axis=1, initial=0) >= MASS, best, -1).tolist()))
-        return [[self.known[k] if k else -1 for k in own] for own in keys]
+        return [[self.known[k] if k else -1 for k in own] for own in keys], [sum(k in self.unsettled for k in own) for own in keys]
+
+
+#: The reader of the model that this worker process used last, by the model's content: later tasks find its sentences solved.
+_readers: dict[str, _Reader] = {}
 
 
-@lru_cache(maxsize=1)
 def _reader(key: str, model) -> _Reader:
-    return _Reader(*model.value)
+    if key not in _readers:
+        _readers.clear()
+        _readers[key] = _Reader(*model.value)
+    return _readers[key]
 
 
 def subject_sentences(docs: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_sentences, and per subject that any sentence deals with: subjects (subject, n), found (subjects that count)."""
+    """Per document: doc_id, n_sentences, n_unsettled, and per subject that any sentence deals with: subjects (subject, n), found (subjects that count)."""
     # a fixed table of subjects
     described = {r[0]: r[1] for r in areas.select("subject", "description").collect() if r[0] is not None}
     subjects = sorted(described)
     spark = docs.sparkSession
     terms, h = fit(docs, labels, subjects, described)
     model = spark.sparkContext.broadcast((terms, h, len(subjects)))
-    key = str(id(model))
+    key = hashlib.sha256("\n".join(terms).encode() + h.tobytes()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(key, model)
         for b in batches:
-            got = reader.read(b.column(1).to_pylist())
+            got, unsettled = reader.read(b.column(1).to_pylist())
             counts = [Counter(x for x in own if x >= 0) for own in got]
             n = [len(x) for x in got]
             named = [[{"subject": subjects[k], "n": m} for k, m in sorted(x.items())] for x in counts]
             found = [[subjects[k] for k, m in sorted(x.items()) if m > 1 or size < SHORT] for x, size in zip(counts, n)]
             kind = pa.list_(pa.struct([("subject", pa.string()), ("n", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int32()), pa.array(named, kind), pa.array(found, pa.list_(pa.string()))],
-                names=["doc_id", "n_sentences", "subjects", "found"],
+                [b.column(0), pa.array(n, pa.int32()), pa.array(named, kind), pa.array(found, pa.list_(pa.string())), pa.array(unsettled, pa.int32())],
+                names=["doc_id", "n_sentences", "subjects", "found", "n_unsettled"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_sentences int, subjects array<struct<subject: string, n: int>>, found array<string>")
+    return spread(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_sentences int, subjects array<struct<subject: string, n: int>>, found array<string>, n_unsettled int")
