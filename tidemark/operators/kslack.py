@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c, micros
-from tidemark.session import width
+from tidemark.session import partitions
 
 NEVER = (1 << 63) - 1
 VARIANTS = ("prov", "final")
@@ -134,7 +134,7 @@ def kslack(
     by = ["key", "period", "t", "seq"]
     released = (
         first.select(*by, "e.*")
-        .repartitionByRange(width(df.sparkSession), *by)
+        .repartitionByRange(partitions(df), *by)
         .sortWithinPartitions(*by)
         .select("key", "period", "t", "arrival", F.monotonically_increasing_id().alias("ord"), *(f"__m{i}" for i in range(n)))
     )

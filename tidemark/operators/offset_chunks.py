@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.session import staged, width
+from tidemark.session import partitions, staged
 
 #: Rows of a chunk: small enough for one task's sort buffer, large enough that states are few.
 CHUNK_ROWS = 50_000
@@ -40,7 +40,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], chunk_rows: in
     flat = flat.withColumn("tie", tie).withColumn("place", F.monotonically_increasing_id())
     by = [*ks, *os, "tie", "place"]
     put = (
-        flat.repartitionByRange(width(df.sparkSession), *by)
+        flat.repartitionByRange(partitions(df), *by)
         .sortWithinPartitions(*by)
         .drop("tie", "place")
         .withColumn("at", F.monotonically_increasing_id())

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.session import staged, width
+from tidemark.session import partitions, staged
 
 
 def ranked_counts(flat: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of keys, v and n, unique in (keys, v), with ``upto``, the rows of the group up to and with v, and ``total``, all of the group."""
     by = [*keys, "v"]
-    put = flat.repartitionByRange(width(flat.sparkSession), *by).sortWithinPartitions(*by).withColumn("pid", F.spark_partition_id())
+    put = flat.repartitionByRange(partitions(flat), *by).sortWithinPartitions(*by).withColumn("pid", F.spark_partition_id())
     put = staged(put, "ranked")
     each = Window.partitionBy(*keys)  # as many rows as partitions that hold the group
     earlier = each.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)

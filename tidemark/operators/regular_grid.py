@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c, from_micros, micros
-from tidemark.session import width
+from tidemark.session import partitions
 
 #: Rounds of a series at most: far beyond what series need (under 200 at sf0.1), so that a series that doesn't settle can't hold a task for good.
 MOST = 10_000
@@ -175,7 +175,7 @@ def regular_grid(
             "source", F.col("session").cast("string").alias("session"), "open", F.ceil((F.col("close") - F.col("open")) / step).cast("int").alias("n"),
             F.col("have.at").alias("at"), F.col("have.v").alias("v"),
         )
-        .repartition(width(readings.sparkSession), "source", "session")  # filling a series costs far more than moving it
+        .repartition(partitions(readings), "source", "session")  # filling a series costs far more than moving it
     )
     kind = readings.schema[source].dataType.simpleString()
     filled = series.mapInPandas(

@@ -73,12 +73,22 @@ def width(spark: SparkSession) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The planner's estimate of df's size, from its files; nothing is read. 0 if it has none, as for rows made in the driver."""
-    n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return n if n < 1 << 57 else 0
+    """The size of the files that df is made of, as the planner knows it; nothing is read. Rows made in the driver don't count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 57)
+
+
+#: Input of a partition where the number of partitions has to be given, as in a sort over range partitions.
+PARTITION_BYTES = 64 << 20
+
+
+def partitions(df: DataFrame) -> int:
+    """How many partitions df's rows should be put into: those of a shuffle in this session, or more if the input asks for them."""
+    return max(width(df.sparkSession), -(-input_bytes(df) // PARTITION_BYTES))
 
 
 def spread(df: DataFrame) -> DataFrame:
     """df for work that costs far more than moving its rows: in as many partitions as a shuffle has, if it has fewer."""
-    n = width(df.sparkSession)
+    n = partitions(df)
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
