@@ -17,7 +17,8 @@ description. With H fixed, W is then solved for every sentence of every document
 component's mass in a sentence is the number of terms it explains. A sentence deals with the subject of the greatest
 mass if that is ``MASS`` terms or more (just under two, so that rounding doesn't decide about sentences of two anchors).
 A sentence is solved when a round moves none of its masses by more than ``SETTLED``, by its own movement alone, however many
-rounds it takes; ``SOLVE_ROUNDS`` is a far safety stop, and sentences that reach it are counted in ``n_unsettled``. A document has a subject if two of its sentences deal with it, or one in a
+rounds it takes; where less than ``NEAR`` decides, it is solved a thousand times as far. ``SOLVE_ROUNDS`` is a far safety stop,
+and sentences that reach it are counted in ``n_unsettled``. A document has a subject if two of its sentences deal with it, or one in a
 document of fewer than ``SHORT`` sentences.
 
 Defined results: null and empty texts have no sentences and no subject; repeated texts get the same subjects each; very
@@ -42,28 +43,36 @@ from tidemark.session import spread, staged
 
 FIT_DOCS = 3000
 ANCHOR, EXCLUSIVE, MASS, SHORT = 0.5, 0.6, 1.9, 6
-BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS, SETTLED = 6, 40, 10_000, 1e-4
+BACKGROUND, FIT_ROUNDS, SOLVE_ROUNDS, SETTLED = 6, 40, 10_000, 1e-3
 #: Entries of a block of sentences, so that its share of H stays in a core's cache; and what keeps quotients finite.
 BLOCK, TINY = 25_000, 1e-12
+#: Sentences whose decision hangs on less than this mass are solved to a thousandth of SETTLED.
+NEAR = 0.5
 
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 MARKUP = re.compile(r"<[^<>]{1,40}>")
 BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """The terms of each sentence; fewer than three words (numbering, say) make none. Upper-case codes are no words."""
+def words(text: str | None) -> list[list[str | None]]:
+    """The words of each sentence; fewer than three (numbering, say) make none. Upper-case codes are no words: they part their neighbours, as None."""
     out = []
     for s in BREAK.split(MARKUP.sub(" ", text or "")):
-        words = WORD.findall(s)
-        if len(words) < 3:
+        own = WORD.findall(s)
+        if len(own) < 3:
             continue
-        mixed = any(x.islower() for x in s)
-        w = [None if mixed and len(x) > 2 and x.isupper() else x.lower() for x in words]
-        out.append([x for x in w if x] + [f"{a} {b}" for a, b in zip(w, w[1:]) if a and b])
+        if s.isupper():  # no word is in lower case
+            out.append([x.lower() for x in own])
+        else:
+            out.append([None if len(x) > 2 and x.isupper() else x.lower() for x in own])
     return out
 
 
+def sentences(text: str | None) -> list[list[str]]:
+    """The terms of each sentence: its words, and pairs of neighbouring words."""
+    return [[x for x in w if x] + [f"{a} {b}" for a, b in zip(w, w[1:]) if a and b] for w in words(text)]
+
+
 def _blocks(keys: list[tuple[int, ...]], pad: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sentences of like length together: their places in keys, and their terms as a matrix filled up with pad."""
     order = sorted(range(len(keys)), key=lambda i: len(keys[i]))
@@ -118,7 +127,7 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
     voc = {x: i for i, x in enumerate(sorted(x for x, n in seen.items() if n > 1))}
     size, total = len(voc), n_subjects + BACKGROUND
     with_subject, with_term, base = np.zeros((n_subjects, size)), np.zeros(size), np.zeros(n_subjects)
-    keys, rows = [], []
+    alike: Counter = Counter()  # sentences of equal terms and subjects are one row, with their number
     for terms, subjects in docs:
         own = list({voc[x] for s in terms for x in s if x in voc})
         with_term[own] += 1
@@ -126,9 +135,9 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
             base[k] += 1
             with_subject[k, own] += 1
         for s in terms:
-            keys.append(tuple(voc[x] for x in s if x in voc))
-            rows.append(subjects)
-    often = np.bincount(np.array([i for k in keys for i in k], np.int64), minlength=size)
+            alike[tuple(sorted(voc[x] for x in s if x in voc)), tuple(sorted(subjects))] += 1
+    keys, rows, times = [k for k, _ in alike], [s for _, s in alike], np.array(list(alike.values()), float)
+    often = np.bincount(np.array([i for k in keys for i in k], np.int64), np.repeat(times, [len(k) for k in keys]), minlength=size)
     sure = (with_subject + base[:, None] / max(len(docs), 1)) / (with_term + 1)
     h = np.zeros((total, size))
     h[:n_subjects] = np.where(sure >= ANCHOR, with_subject, 0)
@@ -153,7 +162,7 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
             inverse.append((1 / (np.matmul(a, w[part][:, :, None])[:, :, 0] + TINY)).ravel())
         inverse = np.concatenate(inverse) if inverse else np.zeros(0)
         for k in range(total):
-            h[k] *= np.bincount(entries, w[owners, k] * inverse, minlength=size + 1)[:size]
+            h[k] *= np.bincount(entries, w[owners, k] * inverse * times[owners], minlength=size + 1)[:size]
         h = scale(h)
     return sorted(voc), h
 
@@ -190,7 +199,12 @@ class _Reader:
 
     def __init__(self, terms: list[str], h: np.ndarray, n: int):
         self.voc, self.h, self.n = {x: i for i, x in enumerate(terms)}, h, n
-        self.speaks = (h[:n] > 0).any(axis=0)
+        self.speaks = (h[:n] > 0).any(axis=0).tolist()
+        self.pairs: dict[str, dict[str, int]] = {}  # by first word; its second words
+        for x, i in self.voc.items():
+            a, _, b = x.partition(" ")
+            if b:
+                self.pairs.setdefault(a, {})[b] = i
         self.known: dict[tuple, int] = {}
         self.unsettled: set[tuple] = set()
 
@@ -199,8 +213,12 @@ class _Reader:
         keys = []
         for text in texts:
             own = []
-            for s in sentences(text):
-                ids = sorted(i for i in map(self.voc.get, s) if i is not None)
+            for w in words(text):
+                ids = [i for i in map(self.voc.get, w) if i is not None]
+                for a, b in zip(w, w[1:]):
+                    if (seconds := self.pairs.get(a)) is not None and (i := seconds.get(b)) is not None:
+                        ids.append(i)
+                ids.sort()
                 # without any anchor all mass is the background's
                 own.append(tuple(ids) if any(self.speaks[i] for i in ids) else ())
             keys.append(own)
@@ -210,7 +228,14 @@ class _Reader:
             self.unsettled.clear()
             new = list(dict.fromkeys(k for own in keys for k in own if k))
         w, rests = solved(self.h, new) if new else (np.zeros((0, self.n)), np.zeros(0, bool))
-        mass = w[:, : self.n]
+        mass = w[:, : self.n].copy()
+        # where the decision may still turn, on to the end: at MASS, and between subjects of like mass
+        ordered = np.sort(np.concatenate([mass, np.zeros((len(mass), 2))], axis=1), axis=1)
+        top, second = ordered[:, -1], ordered[:, -2]
+        near = np.flatnonzero((np.abs(top - MASS) < NEAR) | ((top > MASS - NEAR) & (top - second < NEAR)))
+        if len(near):
+            w, rests[near] = solved(self.h, [new[i] for i in near], tol=SETTLED / 1000)
+            mass[near] = w[:, : self.n]
         best = mass.argmax(axis=1) if new else []
         self.unsettled.update(new[i] for i in np.flatnonzero(~rests))
         self.known.update(zip(new, np.where(mass.max(axis=1, initial=0) >= MASS, best, -1).tolist()))
