@@ -37,6 +37,12 @@ def test_a_load_that_fails_leaves_the_table(spark, tmp_path):
     assert 0 < len(sinks.dry_run(spark.range(1000), 10)) < 300 and len(sinks.dry_run(spark.range(7), 1)) == 7
 
 
+def test_tables_are_synced_at_a_beat(spark, tmp_path):
+    n = iter(range(1, 9))
+    got = sinks.sync({"a": lambda: spark.range(next(n)), "big": lambda: spark.range(9)}, f"file://{tmp_path}/s", 0.01, 3, ("big",))
+    assert got == [{"a": 1}, {"a": 2}, {"a": 3}] and spark.read.parquet(f"{tmp_path}/s/a").count() == 3
+
+
 def test_spilled_messages(spark, tmp_path):
     folder, sent = f"file://{tmp_path}/s", []
     row = lambda *v: spark.createDataFrame([("t", "k", x, None) for x in v], "topic string, key string, value string, trace_id string")
@@ -73,6 +79,11 @@ def test_tables_and_views(spark, tmp_path):
             assert spark.table(f"t_cat.{name}").count() == df.count(), name
         v = spark.table("t_cat.stg_daily_prices")
         assert "batch_loaded_at" in v.columns and v.count() > 0
+        readers = {x: lambda x=x: table(spark, sf, x) for x in ("bronze", "gold_daily_rollup")}
+        assert catalog.load_tables(spark, "t_cat", readers, ["gold_daily_rollup"]) == {"gold_daily_rollup": table(spark, sf, "gold_daily_rollup").count()}
+        with pytest.raises(KeyError):
+            catalog.load_tables(spark, "t_cat", readers, ["nothing"])
+        assert dict(catalog.plain_numbers(spark.sql("select 1.5 a, 'x' b")).dtypes) == {"a": "double", "b": "string"}
         assert catalog.name_of("bronze") == "tidemark_dev.bronze" and catalog.name_of("x", "prod", {"prod": "p"}) == "p.x"
     finally:
         catalog.drop_database(spark, "t_cat")

@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from tidemark.operators.upsert import KeyedTable
+from tidemark.operators.upsert import KeyedTable, merge_condition
 from tidemark.sources.envelopes import read_envelopes, read_symbols, subscriptions, write_envelopes
 from tidemark.streaming.medallion import BAR_KEYS, QUOTE_KEYS, TRADE_KEYS, bars_stream, daily_stream, log_stream, quote_stats_stream, quotes_stream, served_stream, trades_stream
 from tidemark.streaming.metrics import track
@@ -171,6 +171,12 @@ def test_envelopes_and_symbols(spark, tmp_path):
     assert out == ["AM.AAPL", "AM.MSFT", "Q.MSFT"]
 
 
+def test_merge_condition(spark):
+    assert merge_condition(["k", "day"], "day") == "t.`day` = s.`day` AND t.`k` = s.`k`" and merge_condition(["a`b"]) == "t.`a``b` = s.`a``b`"
+    spark.range(3).createOrReplaceTempView("t_merge")
+    assert spark.sql(f"select 1 from t_merge t join t_merge s on {merge_condition(['id'])}").count() == 3
+
+
 def test_no_such_trigger():
     with pytest.raises(ValueError):
         triggered(None, "hourly")

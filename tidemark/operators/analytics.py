@@ -166,6 +166,19 @@ def correlation_matrix(returns: DataFrame, dates: int = 20, min_rows: int = 10)
     return out.filter(F.col("common_days") >= min_rows)
 
 
+def correlation_square(m: DataFrame) -> DataFrame:
+    """The matrix with a row and a column for each symbol, ones where nothing is known, and each row's mean; the most correlated first.
+
+    As many columns as symbols: for the few that are looked at together.
+    """
+    both = m.select("symbol_a", "symbol_b", "correlation")
+    both = both.unionByName(both.select(F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "correlation")).dropDuplicates(["symbol_a", "symbol_b"])
+    wide = both.groupBy("symbol_a").pivot("symbol_b").agg(F.first("correlation")).fillna(1.0)
+    others = [x for x in wide.columns if x != "symbol_a"]
+    mean = sum((F.col(f"`{x}`") for x in others), F.lit(0.0)) / max(1, len(others))
+    return wide.withColumn("mean_correlation", mean).orderBy(F.desc("mean_correlation"), "symbol_a")
+
+
 def half_hour(time: str) -> Column:
     """hour * 100 + 0 or 30, in UTC."""
     return (F.hour(time) * 100 + F.floor(F.minute(time) / 30) * 30).cast("int")

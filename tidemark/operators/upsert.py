@@ -16,6 +16,13 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(source.select(*map(c, keys)), keys, "left_anti").unionByName(source)
 
 
+def merge_condition(keys: list[str], part: str | None = None, target: str = "t", source: str = "s") -> str:
+    """What a MERGE of source into target matches rows on, for engines that have one: the partition column first, so that it prunes."""
+    quoted = lambda x: "`" + x.replace("`", "``") + "`"
+    names = [*([part] if part else []), *(k for k in keys if k != part)]
+    return " AND ".join(f"{target}.{quoted(x)} = {source}.{quoted(x)}" for x in names)
+
+
 class KeyedTable:
     """A parquet table under ``path``, partitioned by one column, and its change log under ``path``_changes.
 

@@ -194,15 +194,15 @@ def merge_upsert(spark, sf):
 
 @query(
     """SELECT trade_date, version, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM (
-      SELECT event_id, CAST(ts AS DATE) AS trade_date, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS version FROM events) GROUP BY ALL""",
+      SELECT event_id, CAST(ts AS DATE) AS trade_date, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS version FROM events) GROUP BY ALL""",
     times=("trade_date",),
 )
 def keyed_table_upsert(spark, sf):
-    """A table written by two batches, the second of which replaces every fifth row."""
-    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("trade_date"), F.lit(0).alias("version"))
+    """A table written by two batches, the second of which replaces the events of one kind."""
+    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("trade_date"), F.lit(0).alias("version"), "event_type")
     t = KeyedTable(spark, scratch(spark, "keyed"), ["event_id"], "trade_date", "version")
     t.upsert(e, 0)
-    t.upsert(e.filter("event_id % 5 = 0").withColumn("version", F.lit(1)), 1)
+    t.upsert(e.filter("event_type = 'purchase'").withColumn("version", F.lit(1)), 1)
     return t.read().groupBy("trade_date", "version").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
@@ -299,16 +299,18 @@ def correlation_matrix(spark, sf):
     return A.correlation_matrix(_daily_returns(M.hour_bars(spark, sf)))
 
 
+_SYMBOLS = ("click", "error", "purchase", "view")
+_ONE = "coalesce(max(correlation) FILTER (symbol_b = '{0}'), 1.0)"
+
+
 @query(
     f"""{_CORR}, both_ AS (SELECT symbol_a, symbol_b, correlation FROM cm UNION SELECT symbol_b, symbol_a, correlation FROM cm)
-    => SELECT symbol_a, coalesce(max(correlation) FILTER (symbol_b = 'click'), 1.0) AS click, coalesce(max(correlation) FILTER (symbol_b = 'error'), 1.0) AS error,
-      coalesce(max(correlation) FILTER (symbol_b = 'purchase'), 1.0) AS purchase, coalesce(max(correlation) FILTER (symbol_b = 'view'), 1.0) AS view FROM both_ GROUP BY symbol_a"""
+    => SELECT symbol_a, {", ".join(f"{_ONE.format(x)} AS {x}" for x in _SYMBOLS)}, ({" + ".join(_ONE.format(x) for x in _SYMBOLS)}) / 4 AS mean_correlation FROM both_ GROUP BY symbol_a""",
+    "mean_correlation",
 )
 def corr_pivot(spark, sf):
     """The triangle made whole and spread to a square."""
-    m = A.correlation_matrix(_daily_returns(M.hour_bars(spark, sf))).select("symbol_a", "symbol_b", "correlation")
-    whole = m.unionByName(m.select(F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "correlation")).dropDuplicates(["symbol_a", "symbol_b"])
-    return whole.groupBy("symbol_a").pivot("symbol_b", ["click", "error", "purchase", "view"]).agg(F.first("correlation")).fillna(1.0)
+    return A.correlation_square(A.correlation_matrix(_daily_returns(M.hour_bars(spark, sf))))
 
 
 _BUCKET = "CAST(extract(hour FROM {0}) * 100 + floor(extract(minute FROM {0}) / 30) * 30 AS INT)"
@@ -553,17 +555,17 @@ def data_quality(spark, sf):
     return A.bar_quality(table(spark, sf, "gold_minute_bars"))
 
 
-#: What gap_check takes out of the log, so that there are gaps to be found: the offsets that end in these digits.
-_LOST = "kafka_offset % 97 NOT BETWEEN 40 AND 42"
+#: What has come through of the log in gap_check, so that there are gaps to be found: messages of a known kind.
+_CAME = "event_type IS NOT NULL"
 
 
 @query(
     f"""SELECT kafka_topic, kafka_partition, kafka_offset, kafka_offset - prev AS jump FROM (SELECT *, lag(kafka_offset) OVER (PARTITION BY kafka_topic, kafka_partition ORDER BY kafka_offset) AS prev
-      FROM (SELECT DISTINCT kafka_topic, kafka_partition, kafka_offset FROM bronze WHERE {_LOST})) WHERE kafka_offset - prev > 1"""
+      FROM (SELECT DISTINCT kafka_topic, kafka_partition, kafka_offset FROM bronze WHERE {_CAME})) WHERE kafka_offset - prev > 1"""
 )
 def gap_check(spark, sf):
     """Offsets before which some are missing, in a log that has lost messages."""
-    d = table(spark, sf, "bronze").filter(_LOST).select("kafka_topic", "kafka_partition", "kafka_offset").distinct()
+    d = table(spark, sf, "bronze").filter(_CAME).select("kafka_topic", "kafka_partition", "kafka_offset").distinct()
     w = Window.partitionBy("kafka_topic", "kafka_partition").orderBy("kafka_offset")
     return d.withColumn("jump", F.col("kafka_offset") - F.lag("kafka_offset").over(w)).filter("jump > 1")
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.functions.columns import c
 
 _LINEAGE = "kafka_topic string, kafka_partition int, kafka_offset bigint"
 _LOADED = "bronze_ingest_timestamp timestamp, silver_timestamp timestamp"
@@ -61,11 +65,28 @@ def create_views(spark: SparkSession, database: str, first: str | None = None, v
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {database}.{table}{where}")
 
 
-def load_table(spark: SparkSession, database: str, name: str, df) -> None:
+def load_table(spark: SparkSession, database: str, name: str, df: DataFrame) -> None:
     """df into a table, by name; the partitions it has are replaced."""
     order = spark.table(f"{database}.{name}").columns
     df.select(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"{database}.{name}")
 
 
+def load_tables(spark: SparkSession, database: str, readers: dict[str, Callable[[], DataFrame]], names: list[str] | None = None) -> dict[str, int]:
+    """Tables from their readers, all or those named, each with its rows. A name without a reader is an error before anything is loaded."""
+    unknown = set(names or []) - set(readers)
+    if unknown:
+        raise KeyError(f"no reader for {', '.join(sorted(unknown))}")
+    out = {}
+    for name in names or readers:
+        load_table(spark, database, name, readers[name]())
+        out[name] = spark.table(f"{database}.{name}").count()
+    return out
+
+
+def plain_numbers(df: DataFrame) -> DataFrame:
+    """df with its decimals as doubles, for what computes with floating-point numbers."""
+    return df.withColumns({n: c(n).cast("double") for n, k in df.dtypes if k.startswith("decimal")})
+
+
 def drop_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +81,17 @@ def load(df: DataFrame, path: str, mode: str = "replace", threshold: int = BULK_
     return rows
 
 
+def sync(tables: dict[str, Callable[[], DataFrame]], folder: str, every_s: float = 60.0, rounds: int | None = 1, skip: tuple[str, ...] = ()) -> list[dict[str, int]]:
+    """Loads small tables whole, again and again at a steady beat (a round that takes longer is followed at once), and says how many rows each had in each round."""
+    out = []
+    while rounds is None or len(out) < rounds:
+        began = time.monotonic()
+        out.append({name: load(make(), f"{folder}/{name}") for name, make in tables.items() if name not in skip})
+        if rounds is None or len(out) < rounds:
+            time.sleep(max(0.0, every_s - (time.monotonic() - began)))
+    return out
+
+
 def dry_run(df: DataFrame, every: int = 100) -> list[str]:
     """Instead of a load: one row in every so many, as text, and nothing else happens."""
     some = df.withColumn("__n", F.pmod(F.xxhash64(*map(c, df.columns)), F.lit(every))).filter("__n = 0").drop("__n")
