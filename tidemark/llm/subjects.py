@@ -50,27 +50,61 @@ BLOCK, TINY = 25_000, 1e-12
 NEAR = 0.5
 
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
+ASCII_WORD = re.compile(r"[A-Za-z]+(?:-[A-Za-z]+)*")
 MARKUP = re.compile(r"<[^<>]{1,40}>")
 BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
-def words(text: str | None) -> list[list[str | None]]:
-    """The words of each sentence; fewer than three (numbering, say) make none. Upper-case codes are no words: they part their neighbours, as None."""
+def words(text: str | None) -> list[list[str]]:
+    """The words of each sentence as they stand; fewer than three (numbering, say) make none. Sentences all in capitals are put in lower case."""
     out = []
     for s in BREAK.split(MARKUP.sub(" ", text or "")):
-        own = WORD.findall(s)
-        if len(own) < 3:
-            continue
-        if s.isupper():  # no word is in lower case
-            out.append([x.lower() for x in own])
-        else:
-            out.append([None if len(x) > 2 and x.isupper() else x.lower() for x in own])
+        own = (ASCII_WORD if s.isascii() else WORD).findall(s)
+        if len(own) > 2:
+            out.append([x.lower() for x in own] if s.isupper() else own)
     return out
 
 
+def counted(word: str) -> str | None:
+    """A word as it is counted: in lower case. Upper-case codes are no words: they part their neighbours, as None."""
+    return None if len(word) > 2 and word.isupper() else word.lower()
+
+
 def sentences(text: str | None) -> list[list[str]]:
     """The terms of each sentence: its words, and pairs of neighbouring words."""
-    return [[x for x in w if x] + [f"{a} {b}" for a, b in zip(w, w[1:]) if a and b] for w in words(text)]
+    return [[x for x in w if x] + [f"{a} {b}" for a, b in zip(w, w[1:]) if a and b] for w in ([counted(x) for x in own] for own in words(text))]
+
+
+class _Lookup(dict):
+    """Words as they stand to (their term's number or -1, the numbers of pairs by second word or None, the word as counted); kept up to a bound, as texts repeat their words."""
+
+    def __init__(self, voc: dict[str, int]):
+        super().__init__()
+        self.voc, self.pairs = voc, {}
+        for x, i in voc.items():
+            a, _, b = x.partition(" ")
+            if b:
+                self.pairs.setdefault(a, {})[b] = i
+
+    def __missing__(self, x: str) -> tuple[int, dict[str, int] | None, str | None]:
+        if len(self) > 200_000:
+            self.clear()
+        y = counted(x)
+        self[x] = found = (self.voc.get(y, -1), self.pairs.get(y), y)
+        return found
+
+    def terms(self, own: list[str]) -> list[int]:
+        """The numbers of a sentence's terms, in order."""
+        ids, seconds = [], None
+        for x in own:
+            i, following, y = self[x]
+            if i >= 0:
+                ids.append(i)
+            if seconds is not None and y in seconds:
+                ids.append(seconds[y])
+            seconds = following
+        ids.sort()
+        return ids
 
 
 def _blocks(keys: list[tuple[int, ...]], pad: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -153,6 +187,16 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
     blocks = list(_blocks(keys, size))
     entries = np.concatenate([ids.ravel() for _, ids in blocks]) if blocks else np.zeros(0, np.int64)
     owners = np.concatenate([np.repeat(part, ids.shape[1]) for part, ids in blocks]) if blocks else entries
+    # entries in order of term, in pieces that stay in the caches; padding is no entry
+    order = np.argsort(entries, kind="stable")
+    order = order[: np.searchsorted(entries[order], size)]
+    heads = np.flatnonzero(np.r_[True, np.diff(entries[order]) != 0]) if len(order) else np.zeros(0, np.int64)
+    present, often_ = entries[order][heads], times[owners[order]] if len(order) else np.zeros(0)
+    cuts = [0]
+    for x in heads[1:]:
+        if x - cuts[-1] >= BLOCK:
+            cuts.append(int(x))
+    cuts.append(len(order))
     for _ in range(rounds):
         by_term, inverse = _padded(h), []
         for part, ids in blocks:
@@ -160,10 +204,13 @@ def factor(docs: list[tuple[list[list[str]], set[int]]], n_subjects: int, rounds
             q = np.matmul(a, w[part][:, :, None])[:, :, 0] + TINY
             w[part] *= np.matmul((1 / q)[:, None, :], a)[:, 0]
             inverse.append((1 / (np.matmul(a, w[part][:, :, None])[:, :, 0] + TINY)).ravel())
-        inverse = np.concatenate(inverse) if inverse else np.zeros(0)
-        for k in range(total):
-            h[k] *= np.bincount(entries, w[owners, k] * inverse * times[owners], minlength=size + 1)[:size]
-        h = scale(h)
+        share = np.zeros((size, total))
+        if len(order):
+            weight = np.concatenate(inverse)[order] * often_
+            for a, b in zip(cuts, cuts[1:]):
+                here = (heads >= a) & (heads < b)
+                share[present[here]] = np.add.reduceat(w[owners[order[a:b]]] * weight[a:b, None], heads[here] - a, axis=0)
+        h = scale(h * share.T)
     return sorted(voc), h
 
 
@@ -200,11 +247,7 @@ class _Reader:
     def __init__(self, terms: list[str], h: np.ndarray, n: int):
         self.voc, self.h, self.n = {x: i for i, x in enumerate(terms)}, h, n
         self.speaks = (h[:n] > 0).any(axis=0).tolist()
-        self.pairs: dict[str, dict[str, int]] = {}  # by first word; its second words
-        for x, i in self.voc.items():
-            a, _, b = x.partition(" ")
-            if b:
-                self.pairs.setdefault(a, {})[b] = i
+        self.lookup = _Lookup(self.voc)
         self.known: dict[tuple, int] = {}
         self.unsettled: set[tuple] = set()
 
@@ -214,11 +257,7 @@ class _Reader:
         for text in texts:
             own = []
             for w in words(text):
-                ids = [i for i in map(self.voc.get, w) if i is not None]
-                for a, b in zip(w, w[1:]):
-                    if (seconds := self.pairs.get(a)) is not None and (i := seconds.get(b)) is not None:
-                        ids.append(i)
-                ids.sort()
+                ids = self.lookup.terms(w)
                 # without any anchor all mass is the background's
                 own.append(tuple(ids) if any(self.speaks[i] for i in ids) else ())
             keys.append(own)
