@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.operators.reconcile import CHECKS, P, differing, field_differences, latest, mulmod, points, products, rational, side_name
+from tidemark.operators.reconcile import CHECKS, P, differing, field_differences, latest, mulmod, points, products, rational, side_name, sieved
 
 
 def test_field_products_are_exact():
@@ -86,8 +86,16 @@ def found(spark, a, b, **kw):
     return {tuple(r) for r in field_differences(rows, KEYS, FIELDS).collect()}
 
 
-@pytest.mark.parametrize(("n", "share"), [(300, 0.02), (400, 0.7)])
-def test_against_brute_force(spark, n, share):
+def test_the_sieve_lets_all_that_differ_through(spark):
+    rows = spark.range(200_000).selectExpr("shiftrightunsigned(xxhash64(id), 4) e", "id")
+    own = rows.filter("id < 3000")
+    out = sieved(rows, own.select("e"), 3000, "e")
+    assert out.columns == ["e", "id"] and out.filter("id < 3000").count() == 3000 and out.count() < 40_000
+    assert sieved(rows, own.select("e").limit(0), 0, "e").count() == 0
+
+
+@pytest.mark.parametrize(("n", "share", "sieve"), [(300, 0.02, 10**9), (400, 0.7, 10**9), (400, 0.7, 0)])
+def test_against_brute_force(spark, n, share, sieve):
     r = random.Random(n)
     a = [(r.choice(["A", None, "", "B"]), i, r.choice([None, float("nan"), r.uniform(0, 9)]), r.choice(["x", "", None]), r.choice([1, None])) for i in range(n)]
     b = []
@@ -102,7 +110,7 @@ def test_against_brute_force(spark, n, share):
         b.append((k[0], k[1], x, *k[3:]))
     b += [("new", i, 1.0, "x", 1) for i in range(int(n * share))]
     r.shuffle(b)
-    assert found(spark, a, b) == brute(a, b)
+    assert found(spark, a, b, sieve_from=sieve) == brute(a, b)
 
 
 def test_tolerance_and_empty_copies(spark):

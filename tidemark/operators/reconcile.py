@@ -9,8 +9,9 @@ with twice the bound, others don't; as soon as the bound reaches a bucket's numb
 finds its differing rows as the zeros among its own elements, and only those rows are fetched and compared field by field.
 
 Shuffled are (bucket, side, element) alone, twenty bytes a row, and after that sketches and polynomials, a dozen numbers per
-bucket of about ``per_bucket`` rows; fields are read only when the rows that differ are fetched. (Those are joined with
-their copies by element: by broadcast as long as they are few enough, else the planner shuffles.) No bucket can be large: keys
+bucket of about ``per_bucket`` rows; fields are read only when the rows that differ are fetched, by a semi join on the element
+that the planner broadcasts while they are few. Beyond ``SIEVE_FROM`` of them, rows pass a broadcast bitmap first, eight
+bits for each element that differs, so that hardly any others are shuffled; it has at most 64 MB. No bucket can be large: keys
 are unique by then (``latest``), and copies of one key collapse before they are shuffled.
 
 Defined results: nulls are values like others, equal to each other; integers and decimals are compared as they are;
@@ -37,6 +38,8 @@ P = (1 << 61) - 1
 M31, M30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 P64 = np.uint64(P)
 CHECKS = 3
+#: Differing rows from which a bitmap goes before the join that fetches them, and bits of the bitmap at most.
+SIEVE_FROM, SIEVE_BITS = 100_000, 1 << 29
 
 
 def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -240,6 +243,19 @@ def _text(x: Column, nested: bool, kind: str, tolerance: float) -> Column:
     return F.coalesce(F.concat(F.lit("v"), x.cast("string")), F.lit("n"))
 
 
+def sieved(rows: DataFrame, elements: DataFrame, n: int, name: str) -> DataFrame:
+    """The rows whose column name is among the n values of elements, and about an eighth of the others: by a bitmap in pieces of 4 KB."""
+    bits = min(SIEVE_BITS, 1 << max(15, math.ceil(math.log2(8 * max(1, n)))))
+    if 2 * n > bits:
+        return rows  # the bitmap would be full
+    place = lambda: F.pmod(c(name), F.lit(bits)) + 1
+    maps = elements.groupBy(F.bitmap_bucket_number(place()).alias("__piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place())).alias("__bits"))
+    both = rows.withColumn("__piece", F.bitmap_bucket_number(place())).join(F.broadcast(maps), "__piece")
+    at = F.bitmap_bit_position(place())
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return both.filter(F.expr("1") == F.getbit(byte, (at % 8).cast("int"))).drop("__piece", "__bits")
+
+
 def side_name(keys: list[str], fields: list[str]) -> str:
     """The column that tells the copies apart: side, with as many underscores after it as keep it from keys and fields."""
     name, taken = "side", {x.lower() for x in [*keys, *fields]}
@@ -248,7 +264,7 @@ def side_name(keys: list[str], fields: list[str]) -> str:
     return name
 
 
-def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], tolerance: float = 1e-4, per_bucket: int = 64, bound: int = 8) -> DataFrame:
+def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], tolerance: float = 1e-4, per_bucket: int = 64, bound: int = 8, sieve_from: int = SIEVE_FROM) -> DataFrame:
     """Rows that one copy has and the other hasn't: ``side_name`` (0 for a, 1 for b), keys and fields. Rows of a copy must be distinct."""
     mark = side_name(keys, fields)
     kinds = _kinds(a, b, [*keys, *fields])
@@ -283,7 +299,12 @@ def differing(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], to
         polys = polys.unionAll(x)
     near = here.join(polys.drop("ok"), "bucket").select("bucket", "side", "element", "p", "q")
     zeros = staged(near.mapInArrow(_zeros, "bucket bigint, side int, element bigint"), "zeros").withColumnsRenamed(back)
-    rows = [elements(df, i, buckets, *map(c, keys), *map(c, fields)).join(zeros.filter(c("__side") == i).drop("__side"), ["__bucket", "__element"], "left_semi") for i, df in enumerate((a, b))]
+    n = zeros.count()
+    rows = []
+    for i, df in enumerate((a, b)):
+        own = zeros.filter(c("__side") == i).drop("__side")
+        all_ = elements(df, i, buckets, *map(c, keys), *map(c, fields))
+        rows.append((sieved(all_, own, n, "__element") if n >= sieve_from else all_).join(own, ["__bucket", "__element"], "left_semi"))
     return rows[0].unionByName(rows[1]).drop("__bucket", "__element").withColumnRenamed("__side", mark)
 
 

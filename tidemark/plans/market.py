@@ -50,6 +50,11 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest(table(spark, sf_dir, "silver_trades"), ["symbol", "trade_id"])
 
 
+def flow_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of trades that models of trade flow use."""
+    return trades(spark, sf_dir).select("composite_figi", "symbol", "trade_id", "trade_price", "trade_size", "sip_timestamp", "trade_date")
+
+
 def last_of(name: str, keys: str, order: str, rest: str, where: str = "") -> str:
     """SQL of keep_latest: rest are the other columns in the table's order."""
     by = ", ".join(f"{x} DESC NULLS LAST" for x in [order, *rest.split()])

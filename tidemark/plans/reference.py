@@ -337,7 +337,7 @@ _SPREAD = {"avg_spread_bps": "avg_spread_bps", "avg_min_spread_bps": "min_spread
     *_SPREAD, "avg_trades", "avg_notional", "avg_trade_size", "avg_buy_pct", "relative_spread", digits=3,
 )
 def spread_profile(spark, sf):
-    return A.spread_profile(table(spark, sf, "gold_quote_stats"), A.trade_flow(M.trades(spark, sf)))
+    return A.spread_profile(table(spark, sf, "gold_quote_stats"), A.trade_flow(M.flow_trades(spark, sf)))
 
 
 @query(
@@ -356,7 +356,7 @@ def spread_profile(spark, sf):
 )
 def microstructure_daily(spark, sf):
     """Dates of symbols without quotes stay."""
-    return A.microstructure_daily(A.trade_flow(M.trades(spark, sf)), B.quote_stats(table(spark, sf, "silver_quotes")))
+    return A.microstructure_daily(A.trade_flow(M.flow_trades(spark, sf)), B.quote_stats(table(spark, sf, "silver_quotes")))
 
 
 @query(
@@ -367,7 +367,7 @@ def microstructure_daily(spark, sf):
     "notional", "avg_size", "avg_notional", "trade_pct", "volume_pct", "notional_pct", digits=2, times=("trade_date",),
 )
 def trade_size_distribution(spark, sf):
-    return A.size_distribution(A.trade_flow(M.trades(spark, sf)))
+    return A.size_distribution(A.trade_flow(M.flow_trades(spark, sf)))
 
 
 # reconciliation and fundamentals
@@ -664,6 +664,18 @@ def histogram_bins(spark, sf):
     return table(spark, sf, "silver_trades").filter("trade_size >= 0").groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders), b AS (SELECT CAST(least(20, floor((o_totalprice - lo) / (hi - lo) * 20) + 1) AS INT) AS bin FROM orders, r)
+    => SELECT bin, count(*) AS n FROM b GROUP BY bin"""
+)
+def histogram_equal(spark, sf):
+    """Twenty bins of one width over the range of the values, which is worked out first."""
+    o = table(spark, sf, "orders").select("o_totalprice")
+    lo, hi = o.agg(F.min("o_totalprice"), F.max("o_totalprice")).first()
+    b = F.least(F.lit(20), F.floor((F.col("o_totalprice") - F.lit(lo)) / (F.lit(hi) - F.lit(lo)) * 20) + 1).cast("int")
+    return o.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT event_date AS d FROM gold_daily_rollup UNION SELECT price_date FROM batch_daily_prices", times=("d",))
 def union_dates(spark, sf):
     return table(spark, sf, "gold_daily_rollup").select(F.col("event_date").alias("d")).union(table(spark, sf, "batch_daily_prices").select("price_date")).distinct()

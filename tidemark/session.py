@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", at)

@@ -51,7 +51,7 @@ def name_of(table: str, environment: str = "dev", names: dict[str, str] | None =
 
 def create_tables(spark: SparkSession, database: str, location: str, tables: dict[str, tuple[str, tuple[str, ...]]] = TABLES) -> None:
     """The database and its tables, as parquet under location; those that exist stay as they are. Times are wall-clock times."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}/_database'")
     for name, (columns, parts) in tables.items():
         columns = columns.replace(" timestamp", " timestamp_ntz")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}/{name}'")
