@@ -69,9 +69,9 @@ def near(a, b):
     return len(a) == len(b) and all(x == y if x is None or y is None else x == pytest.approx(y, rel=1e-9) for x, y in zip(a, b))
 
 
-def run(spark, rows, parts=3):
+def run(spark, rows, parts=3, **kw):
     df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
-    out = kslack(df, "key", "t", "arrived", "seq", {"v": F.col("v")}, F.col("v") > 0, ranged=("v",), ordered=("v",))
+    out = kslack(df, "key", "t", "arrived", "seq", {"v": F.col("v")}, F.col("v") > 0, ranged=("v",), ordered=("v",), **kw)
     got = {}
     for r in out.collect():
         w = datetime(1970, 1, 1) + timedelta(microseconds=r.period)
@@ -86,6 +86,7 @@ def test_against_brute_force(spark, seed, n, hot):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         got, want = run(spark, rows), brute(rows)
+        assert run(spark, rows, inputs=("v",)) == got
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     assert got.keys() == want.keys()

@@ -11,6 +11,8 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
+#: What quote_measures reads.
+QUOTE_INPUTS = ("bid_price", "ask_price", "bid_size", "ask_size")
 #: A quote that counts: neither locked nor crossed, with a bid.
 GOOD_QUOTE = "ask_price > bid_price and bid_price > 0"
 

@@ -107,10 +107,13 @@ def _joint(close: str) -> Callable[[Column, Column], Column]:
 
 def kslack(
     df: DataFrame, key: str, event_time: str, arrival: str, sequence: str, measures: dict[str, Column], valid: Column,
-    ranged: tuple[str, ...] = (), ordered: tuple[str, ...] = (), slack_s: int = 3600, grace_s: int = 120, period_s: int = 60,
+    ranged: tuple[str, ...] = (), ordered: tuple[str, ...] = (), slack_s: int = 3600, grace_s: int = 120, period_s: int = 60, inputs: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Provisional and final aggregates per (key, period), with the events that amended or were rejected.
 
+    inputs: the columns of df that the measures are made of. If given, these are moved, and measures worked out where events
+    are in order; else the measures are moved.
+
     Columns: key, period (microseconds), n_amended, n_rejected, and for v in prov, final: v_n; v_avg_x of every measure;
     v_min_x, v_max_x of the ranged; v_open_x, v_close_x and v_twa_x, the average weighted by the time until the next
     event or the period's end, of the ordered ones.
@@ -118,25 +121,31 @@ def kslack(
     names = list(measures)
     n, length = len(names), period_s * 1_000_000
     r_at, o_at = [names.index(x) for x in ranged], [names.index(x) for x in ordered]
-    event = df.withColumns({"__valid": F.coalesce(valid, F.lit(False))} | {f"__m{i}": m.cast("double") for i, m in enumerate(measures.values())})
+    event = df.withColumn("__valid", F.coalesce(valid, F.lit(False)))
+    if inputs is None:
+        event = event.withColumns({f"__m{i}": m.cast("double") for i, m in enumerate(measures.values())})
+        moved, measured = [f"__m{i}" for i in range(n)], [F.col(f"__m{i}") for i in range(n)]
+    else:
+        moved, measured = list(inputs), [m.cast("double").alias(f"__m{i}") for i, m in enumerate(measures.values())]
     event = event.select(
-        c(key).alias("key"), micros(c(event_time)).alias("t"), c(sequence).alias("seq"),
-        F.coalesce(micros(c(arrival)), F.lit(NEVER)).alias("arrival"), "__valid", *(f"__m{i}" for i in range(n)),
+        c(key).alias("__key"), micros(c(event_time)).alias("__t"), c(sequence).alias("__seq"),
+        F.coalesce(micros(c(arrival)), F.lit(NEVER)).alias("__arrival"), "__valid", *map(c, moved),
     )
     # combined before the exchange, so a row repeated any number of times stays small
     first = (
-        event.filter("t is not null")
-        .groupBy("key", "t", "seq")
-        .agg(F.min(F.struct("arrival", "__valid", *(f"__m{i}" for i in range(n)))).alias("e"))
-        .filter("e.__valid")
-        .withColumn("period", F.col("t") - F.pmod("t", F.lit(length)))
+        event.filter("__t is not null")
+        .groupBy("__key", "__t", "__seq")
+        .agg(F.min(F.struct("__arrival", "__valid", *map(c, moved))).alias("__e"))
+        .filter("__e.__valid")
+        .withColumn("__period", F.col("__t") - F.pmod("__t", F.lit(length)))
     )
-    by = ["key", "period", "t", "seq"]
+    by = ["__key", "__period", "__t", "__seq"]
     released = (
-        first.select(*by, "e.*")
+        first.select(*by, "__e.__arrival", *(F.col("__e").getField(x).alias(x) for x in moved))
         .repartitionByRange(partitions(df), *by)
         .sortWithinPartitions(*by)
-        .select("key", "period", "t", "arrival", F.monotonically_increasing_id().alias("ord"), *(f"__m{i}" for i in range(n)))
+        .select("__key", "__period", "__t", "__arrival", F.monotonically_increasing_id().alias("__ord"), *map(c, moved))
+        .select("__key", "__period", "__t", "__arrival", "__ord", *measured)
     )
     schema = _schema(n, r_at, o_at)
     pieces = released.mapInArrow(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import from_micros, micros, stamp
-from tidemark.operators.bars import GOOD_QUOTE, quote_measures
+from tidemark.operators.bars import GOOD_QUOTE, QUOTE_INPUTS, quote_measures
 from tidemark.operators.kslack import kslack
 from tidemark.session import scratch
 from tidemark.sources.tables import table
@@ -25,7 +25,7 @@ def quote_minutes(quotes: DataFrame) -> DataFrame:
     """Provisional and final statistics per symbol and minute; locked, crossed and zero-bid quotes are left out."""
     return kslack(
         quotes, "symbol", "sip_timestamp", "bronze_ingest_timestamp", "sequence_number", quote_measures(), F.expr(GOOD_QUOTE),
-        ranged=("bps",), ordered=("mid", "spread"), slack_s=SLACK_S, grace_s=GRACE_S,
+        ranged=("bps",), ordered=("mid", "spread"), slack_s=SLACK_S, grace_s=GRACE_S, inputs=QUOTE_INPUTS,
     )
 
 
