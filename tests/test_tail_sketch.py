@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from tidemark.operators.tail_sketch import SECTION, TailSketch, merge_sketches, percentiles, rank_bound, sketches
+from tidemark.operators.tail_sketch import SECTION, TailSketch, TwoTails, merge_sketches, nearer_bound, percentiles, rank_bound, sketches
 
 PS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 0.99, 0.999, 1.0]
 
@@ -36,6 +36,25 @@ def test_errors_within_bound_and_tail_exact(kind, parts):
     assert s.quantiles([1.0]) == [xs[-1]]
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "sorted", "reversed", "ties"])
+@pytest.mark.parametrize("parts", [1, 25])
+def test_both_tails(kind, parts):
+    rng = np.random.default_rng(5)
+    n = 200_000
+    x = {"lognormal": rng.lognormal(3, 2, n), "sorted": np.arange(float(n)), "reversed": np.arange(float(n))[::-1], "ties": rng.integers(0, 50, n) * 1.0}[kind]
+    some = []
+    for i, part in enumerate(np.array_split(x, parts)):
+        s = TwoTails(SECTION, i)
+        s.update(part)
+        some.append(TwoTails.unpack(s.pack()))
+    while len(some) > 1:
+        some = _paired(some)
+    xs = np.sort(x)
+    for p, v in zip([0.0001, 0.001, *PS], some[0].quantiles([0.0001, 0.001, *PS])):
+        assert off(xs, v, p) <= nearer_bound(SECTION, p) + 2 / n, (p, v)
+    assert some[0].quantiles([0.0, 1.0]) == [xs[0], xs[-1]] and some[0].n == n and not some[0].exact
+
+
 def _paired(some):
     out = []
     for a, b in zip(some[::2], some[1::2]):
@@ -44,11 +63,14 @@ def _paired(some):
     return out + some[len(out) * 2 :]
 
 
-def test_small_groups_are_exact():
-    s = TailSketch()
+@pytest.mark.parametrize("kind", [TailSketch, TwoTails])
+def test_small_groups_are_exact(kind):
+    s = kind()
     x = np.arange(1.0, 101)
     s.update(x)
-    assert s.quantiles([0, 0.5, 0.501, 1]) == [1, 50, 51, 100]
+    assert s.quantiles([0, 0.01, 0.5, 0.501, 1]) == [1, 1, 50, 51, 100]
+    if kind is TwoTails:
+        assert s.down.mirrored([0, 0.01, 0.5, 0.501, 1]) == [1, 1, 50, 51, 100]
 
 
 def test_groups_days_and_odd_values(spark):

@@ -4,7 +4,9 @@ A sketch is a ladder of buffers; an item on level h stands for 2**h values. When
 sorted and every other item of it moves one level up, the rest is dropped; how much of the buffer takes part follows the
 count of earlier compactions (as many sections as that count has trailing ones, and one), and the upper half never does. So
 the greatest values are kept exactly or nearly so, and the error of a rank is proportional to its distance from the top:
-for the value at rank r of n, with section size k, one standard deviation is about ``0.1306 / k * (n - r)`` positions. The
+for the value at rank r of n, with section size k, one standard deviation is about ``0.1306 / k * (n - r)`` positions. A group has
+two such sketches, one of its values and one of their negatives, and a percentile is read from the one that protects its
+tail, so the error is proportional to the distance from the nearer end, whichever that is. The
 reported bound is ``DEVIATIONS`` of them, so that it holds over very many groups at once. Sections grow in number and shrink in size as a buffer sees more compactions.
 
 Sketches merge level by level, in any grouping, under the same bound, so those of input partitions make those of days, and
@@ -20,7 +22,7 @@ one at p is the least value at or below which lie p * n values or more; an empty
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ GROUPS = 20_000
 
 
 class TailSketch:
-    """Values above protected, in float64."""
+    """The greatest values protected, in float64."""
 
     def __init__(self, k: int = SECTION, seed: int = 0):
         self.k, self.n, self.coins = k, 0, (seed * 2862933555777941757 + 3037000493) & MASK
@@ -104,12 +106,20 @@ class TailSketch:
             h += 1
 
     def quantiles(self, ps: list[float]) -> list[float]:
+        return self._read(lambda total: [np.ceil(p * total) if p > 0 else 1 for p in ps])
+
+    def mirrored(self, ps: list[float]) -> list[float]:
+        """Of a sketch of negatives, the quantiles of the values."""
+        return [-x for x in self._read(lambda total: [total - (np.ceil(p * total) if p > 0 else 1) + 1 for p in ps])]
+
+    def _read(self, ranks: Callable[[int], list[float]]) -> list[float]:
         x = np.concatenate(self.items)
         w = np.concatenate([np.full(len(v), 1 << h, np.int64) for h, v in enumerate(self.items)])
         o = np.argsort(x, kind="stable")
         up = np.cumsum(w[o])
         # what compaction left odd is a few weights more or less than n
-        return [float(x[o][min(np.searchsorted(up, np.ceil(p * up[-1]) if p > 0 else 1), len(x) - 1)]) for p in ps]
+        x = x[o]
+        return [float(x[min(np.searchsorted(up, r), len(x) - 1)]) for r in ranks(up[-1])]
 
     def pack(self) -> bytes:
         head = [float(self.k), float(self.n), float(len(self.items))]
@@ -129,15 +139,57 @@ class TailSketch:
         return s
 
 
+class TwoTails:
+    """A sketch of values and one of their negatives: both tails are protected."""
+
+    def __init__(self, k: int = SECTION, seed: int = 0):
+        self.up, self.down = TailSketch(k, seed), TailSketch(k, seed + 1)
+
+    @property
+    def n(self) -> int:
+        return self.up.n
+
+    @property
+    def exact(self) -> bool:
+        return len(self.up.items) == 1
+
+    def update(self, values: np.ndarray) -> None:
+        self.up.update(values)
+        self.down.update(-values)
+
+    def merge(self, other: TwoTails) -> None:
+        self.up.merge(other.up)
+        self.down.merge(other.down)
+
+    def quantiles(self, ps: list[float]) -> list[float]:
+        high, low = self.up.quantiles(ps), self.down.mirrored(ps)
+        return [a if p >= 0.5 or self.exact else b for p, a, b in zip(ps, high, low)]
+
+    def pack(self) -> bytes:
+        a = self.up.pack()
+        return len(a).to_bytes(8, "little") + a + self.down.pack()
+
+    @classmethod
+    def unpack(cls, raw: bytes) -> TwoTails:
+        out, n = cls.__new__(cls), int.from_bytes(raw[:8], "little")
+        out.up, out.down = TailSketch.unpack(raw[8 : 8 + n]), TailSketch.unpack(raw[8 + n :])
+        return out
+
+
 def _even(x: float) -> int:
     return max(4, 2 * round(x / 2))
 
 
 def rank_bound(k: int, p: float) -> float:
-    """The bound of the rank at p, as a share of n."""
+    """The bound of the rank at p in a sketch of values, as a share of n."""
     return DEVIATIONS * SPREAD / k * (1 - p)
 
 
+def nearer_bound(k: int, p: float) -> float:
+    """The bound of the rank at p where both tails are protected."""
+    return rank_bound(k, max(p, 1 - p))
+
+
 def _build(k: int, n_keys: int, rows: int = 1 << 18):
     """Rows of keys and a value to one sketch per group of the partition."""
     names = [f"k{i}" for i in range(n_keys)]
@@ -152,7 +204,7 @@ def _build(k: int, n_keys: int, rows: int = 1 << 18):
         keys = zip(*(x.to_pylist() for x in heads.columns)) if names else [()]
         for key, x in zip(keys, np.split(v[o], firsts[1:])):
             if key not in made:
-                made[key] = TailSketch(k, zlib.crc32(repr((key, len(x), float(x[0]))).encode()))
+                made[key] = TwoTails(k, zlib.crc32(repr((key, len(x), float(x[0]))).encode()))
             made[key].update(x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +252,8 @@ def _merge(n_keys: int):
             for k, raw in zip(keys, b.column(n_keys).to_pylist()):
                 if now is not None and k == key:
                     if isinstance(now, bytes):
-                        now = TailSketch.unpack(now)
-                    now.merge(TailSketch.unpack(raw))
+                        now = TwoTails.unpack(now)
+                    now.merge(TwoTails.unpack(raw))
                     continue
                 if now is not None:
                     out.append((key, now if isinstance(now, bytes) else now.pack()))
@@ -259,13 +311,13 @@ def percentiles(df: DataFrame, ps: list[float], k: int = SECTION) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            s = [TailSketch.unpack(x) for x in b["sketch"]]
-            exact = [len(x.items) == 1 for x in s]
+            s = [TwoTails.unpack(x) for x in b["sketch"]]
+            exact = [x.exact for x in s]
             out = b.drop(columns="sketch")
             out["n"] = [x.n for x in s]
             out["p"] = [ps] * len(b)
             out["value"] = [x.quantiles(ps) for x in s]
-            out["rank_bound"] = [[0.0 if e else rank_bound(k, p) for p in ps] for e in exact]
+            out["rank_bound"] = [[0.0 if e else nearer_bound(k, p) for p in ps] for e in exact]
             yield out
 
     by = [*(f"`{x}` {kinds[x]}" for x in keys), "n bigint", "p array<double>", "value array<double>", "rank_bound array<double>"]
