@@ -12,8 +12,9 @@ spread over hash buckets and filled in Arrow batches, series of one length toget
    reaches it is reported as not ``converged``.
 
 Window and rank are chosen for each series from ``CHOICES`` by masked validation: a tenth of its values is held out and
-filled with each choice, and the smallest window within 15 % of the least error is taken. Prices that wander get two lags,
-of which one vector is kept, which comes to straight lines; series with a rhythm get windows that hold it.
+filled with each choice, and the smallest window within 25 % of the least error is taken (about two standard errors of some
+35 values). Prices that wander get two lags, of which one vector is kept, which comes to straight lines; series with a
+rhythm get windows that hold it.
 
 Filled periods are marked. Defined results: a reading is usable if it isn't null, isn't NaN and is above ``floor``; of
 several usable readings in a period the last one counts (ties: ``tie``, then the greater value); readings outside every
@@ -39,7 +40,7 @@ from tidemark.session import partitions
 MOST = 10_000
 #: Windows and ranks tried on each series, from the smallest window on; the share of values held out for it, and the error another window must save.
 CHOICES = ((2, 1), (6, 2), (24, 4))
-HELD_OUT, WORTH = 0.1, 0.15
+HELD_OUT, WORTH = 0.1, 0.25
 
 
 def ssa_fill(y: np.ndarray, window: int = 24, rank: int = 3, tol: float = 1e-5, most: int = MOST) -> np.ndarray:
